@@ -146,9 +146,9 @@ def zscore_all_windows(spark, sf):
 
 def parse_format_epoch(spark, sf):
     sl.use_utc(spark)
-    day = F.col("o_orderdate").cast("string")
+    day = F.substring(F.col("o_orderdate").cast("string"), 1, 10)
     text = F.when(F.col("o_orderkey") % 5 == 0, day).otherwise(
-        F.concat(F.lit("  "), F.substring(day, 1, 10), F.lit(" 01:02:03 "))
+        F.concat(F.lit("  "), day, F.lit(" 01:02:03 "))
     )
     epoch = parse_epoch(text)
     return spark.read.parquet(f"{sf}/orders.parquet").select(
@@ -453,7 +453,7 @@ EVENT_QUERIES = f"""q AS (
   SELECT c_custkey AS query_id,
     CASE c_custkey % 8 WHEN 0 THEN 'error' WHEN 1 THEN (c_custkey % 100)::VARCHAR END AS keyword,
     CASE c_custkey % 8 WHEN 2 THEN 'user_' || (c_custkey % 10)::VARCHAR END AS prefix,
-    CASE c_custkey % 8 WHEN 3 THEN 's%p' WHEN 4 THEN '%ase' WHEN 5 THEN '%ic%' WHEN 6 THEN '%' END AS glob,
+    CASE c_custkey % 8 WHEN 3 THEN 's%p' WHEN 4 THEN '%ase' WHEN 5 THEN '%ic%' WHEN 6 THEN '%' END AS wild,
     CASE WHEN c_custkey % 3 <> 0 THEN {BASE_MS} + (c_custkey % 29) * 86400000 END AS start_ms,
     CASE WHEN c_custkey % 3 <> 0
          THEN {BASE_MS} + (c_custkey % 29) * 86400000 + 3600000 * (c_custkey % 50) END AS end_ms,
@@ -462,13 +462,13 @@ EVENT_QUERIES = f"""q AS (
   FROM customer)"""
 BATCH_SQL = f"""WITH {LE}, {tokens('le')}, {EVENT_QUERIES},
   tok AS (SELECT DISTINCT unnest(tokens) AS t FROM le_t),
-  asked AS (SELECT q.*, t FROM q JOIN tok ON t = keyword OR starts_with(t, prefix) OR t LIKE glob),
+  asked AS (SELECT q.*, t FROM q JOIN tok ON t = keyword OR starts_with(t, prefix) OR t LIKE wild),
   post AS (SELECT log_id, epoch_ms, level, service, unnest(tokens) AS t FROM le_t),
   hits AS (
     SELECT query_id, start_ms, end_ms, lvl, svc, log_id, epoch_ms, level, service FROM asked JOIN post USING (t)
     UNION ALL
     SELECT query_id, start_ms, end_ms, lvl, svc, log_id, epoch_ms, level, service FROM q JOIN le
-      ON coalesce(keyword, prefix, glob) IS NULL)
+      ON coalesce(keyword, prefix, wild) IS NULL)
   SELECT DISTINCT query_id, log_id, epoch_ms FROM hits
   WHERE (start_ms IS NULL OR epoch_ms BETWEEN start_ms AND end_ms)
     AND (lvl IS NULL OR upper(level) = lvl) AND (svc IS NULL OR upper(service) = svc)"""

@@ -165,17 +165,18 @@ def _pieces(token: Column, used: set[str]) -> Column:
         kinds.append(F.transform(sizes, lambda n: F.concat(F.lit("t"), F.right(token, n))))
     if "g" in used:
         chars = F.filter(F.split(token, ""), lambda c: c != "")
-        grams = [
-            F.transform(
-                chars,
-                lambda c, i, n=n: F.concat(F.lit("g"), F.array_join(F.slice(chars, i + 1, F.lit(n)), "")),
-            )
-            for n in range(1, _GRAM + 1)
-        ]
+        grams = [_grams(chars, n) for n in range(1, _GRAM + 1)]
         kinds.append(F.array_distinct(F.concat(*grams)))
     return F.concat(*kinds)
 
 
+def _grams(chars: Column, size: int) -> Column:
+    def gram(_, i):
+        return F.concat(F.lit("g"), F.array_join(F.slice(chars, i + 1, F.lit(size)), ""))
+
+    return F.transform(chars, gram)
+
+
 def _day_keys(plan: DataFrame, logs: DataFrame) -> DataFrame:
     """Queries without text, one row per day they cover within the table's extent."""
     extent = time_extent(logs).first()
