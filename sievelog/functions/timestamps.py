@@ -39,10 +39,15 @@ def log_date(epoch_ms: Column) -> Column:
     return F.date_from_unix_date(clamped.cast("int"))
 
 
-def day_of(epoch_ms: int) -> dt.date:
-    """Driver-side twin of :func:`log_date` for literals."""
+def day_of(epoch_ms: int) -> Column:
+    """:func:`log_date` of a given time, as a constant."""
     day = max(_FIRST_DAY, min(_LAST_DAY, epoch_ms // DAY_MS))
-    return dt.date(1970, 1, 1) + dt.timedelta(days=day)
+    return day_literal((dt.date(1970, 1, 1) + dt.timedelta(days=day)).isoformat())
+
+
+def day_literal(day: str) -> Column:
+    # Python dates before 1582 would pass through another calendar on their way.
+    return F.lit(day).cast("date")
 
 
 def bound_ms(text: str | int | None) -> int | None:

@@ -68,7 +68,8 @@ def delete_by_id(rows: DataFrame, ids: DataFrame) -> DataFrame:
     No broadcast hint: the planner broadcasts a short list by its size and shuffles a
     long one, splitting a hot id's rows if it must.
     """
-    return rows.join(ids.select("log_id").distinct(), "log_id", "left_anti")
+    kept = rows.join(ids.select("log_id").distinct(), "log_id", "left_anti")
+    return kept.select(*rows.columns)
 
 
 def found_ids(rows: DataFrame, ids: DataFrame) -> DataFrame:

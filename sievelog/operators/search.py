@@ -30,7 +30,7 @@ def time_between(logs: DataFrame, start_ms: int, end_ms: int) -> Column:
     """Inclusive time bounds; on a day-partitioned table also the days they touch."""
     cond = F.col("epoch_ms").between(start_ms, end_ms)
     if "log_date" in logs.columns:
-        cond = cond & F.col("log_date").between(F.lit(day_of(start_ms)), F.lit(day_of(end_ms)))
+        cond = cond & F.col("log_date").between(day_of(start_ms), day_of(end_ms))
     return cond
 
 

@@ -19,7 +19,7 @@ from sievelog.functions.text import log_tokens
 from sievelog.functions.timestamps import log_date
 from sievelog.operators.analytics import time_extent
 from sievelog.operators.search import time_between
-from sievelog.plans.postings import build_postings, hit_days, token_dictionary
+from sievelog.plans.postings import build_postings, hit_days, on_days, token_dictionary
 from sievelog.schema import DAY_MS
 from sievelog.session import materialise
 
@@ -243,12 +243,9 @@ def _by_postings(logs, postings, tokens, unique_ids) -> DataFrame:
     hits = materialise(
         found.select(*conditions, "log_id", "epoch_ms", "row_key").distinct(), "batch-hits"
     )
-    days = hit_days(hits)
     if "log_date" in columns:
-        rows = logs.where(F.col("log_date").isin(days) if days else F.lit(False))
-    else:
-        rows = logs
-    rows = rows.withColumn("row_key", row_key())
+        logs = logs.where(on_days(hit_days(hits)))
+    rows = logs.withColumn("row_key", row_key())
     # Size decides: a small written table of hits is broadcast, a large one shuffled.
     picked = rows.join(hits, ["log_id", "epoch_ms", "row_key"]).select(*conditions, *columns)
     return _finish(picked, columns, unique_ids)

@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 from sievelog.functions.keys import row_key
 from sievelog.functions.text import field_token, log_tokens, message_words, same_text, token_matches
-from sievelog.functions.timestamps import log_date
+from sievelog.functions.timestamps import day_literal, log_date
 from sievelog.operators.search import matching
 
 POSTINGS_SCHEMA = T.StructType(
@@ -125,13 +125,19 @@ def search_indexed(
         days = set(hit_days(hits))
         if not index_fields:
             days.update(hit_days(logs.where(_field_matches(**text))))
-        logs = logs.where(F.col("log_date").isin(sorted(days)) if days else F.lit(False))
+        logs = logs.where(on_days(days))
     return matching(logs, unique_ids=unique_ids, **filters)
 
 
-def hit_days(hits: DataFrame) -> list:
+def hit_days(hits: DataFrame) -> list[str]:
     """The distinct days of some rows; one value per calendar day at most."""
-    return [r[0] for r in hits.select(log_date(F.col("epoch_ms"))).distinct().collect()]
+    day = log_date(F.col("epoch_ms")).cast("string")
+    return [r[0] for r in hits.select(day).distinct().collect()]
+
+
+def on_days(days) -> Column:
+    """Static partition filter for a list of days."""
+    return F.col("log_date").isin([day_literal(d) for d in sorted(days)]) if days else F.lit(False)
 
 
 def _field_matches(**text) -> Column:
