@@ -103,8 +103,8 @@ def dedupe_by_id(spark, sf):
 
 
 def merge_by_time(spark, sf):
-    logs = events(spark, sf)
-    shards = [sl.scatter_gather(logs, only=[n], keyword="click").drop("shard") for n in range(3)]
+    logs = sl.with_shard(events(spark, sf), 3)
+    shards = [sl.matching(logs.where(F.col("shard") == n), keyword="click") for n in range(3)]
     return shown(sl.merge_by_time(*shards))
 
 
@@ -551,11 +551,11 @@ Q: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     ),
     "merge_by_time": (merge_by_time, from_le("list_contains(tokens, 'click')", with_tokens=True)),
     "match_count": (
-        lambda s, d: sl.match_count(sl.compound(events(s, d), prefix="user_", level="error")),
+        lambda s, d: sl.match_count(sl.matching(events(s, d), prefix="user_", level="error")),
         from_le("level = 'ERROR'", "count(*) AS matches"),
     ),
     "match_preview": (
-        lambda s, d: shown(sl.preview(sl.compound(events(s, d), keyword="error"), 5)),
+        lambda s, d: shown(sl.preview(sl.matching(events(s, d), keyword="error"), 5)),
         from_le("list_contains(tokens, 'error') ORDER BY epoch_ms, log_id LIMIT 5", with_tokens=True),
     ),
     "dedupe_by_id": (dedupe_by_id, from_le("true")),

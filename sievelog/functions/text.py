@@ -159,13 +159,13 @@ def template(message: Column) -> Column:
     """Message with punctuation removed and every word holding a digit masked.
 
     Three passes over the text: white space to single blanks, punctuation out, words
-    with a digit to ``<*>``. The look-behind and the possessive quantifiers keep the
-    last pass linear in long words.
+    with a digit to ``<*>``. The last one is skipped where there is no digit; the
+    look-behind and the possessive quantifiers keep it linear in long words.
     """
     text = F.regexp_replace(F.coalesce(message, F.lit("")), r"\s+", " ")
-    text = F.regexp_replace(text, r"[^a-zA-Z0-9 ]+", "")
-    text = F.regexp_replace(text, r"(?<![a-zA-Z0-9])[a-zA-Z]*+[0-9][a-zA-Z0-9]*+", "<*>")
-    return F.trim(text)
+    text = F.regexp_replace(text, r"[^\p{Alnum} ]++", "")
+    masked = F.regexp_replace(text, r"(?<!\w)[a-zA-Z]*+[0-9]\w*+", "<*>")
+    return F.trim(F.when(text.rlike("[0-9]"), masked).otherwise(text))
 
 
 def signature(service: Column, message: Column) -> Column:

@@ -2,7 +2,7 @@
 
 Every search is a conjunction of row predicates on one table, so Catalyst combines
 them and hands the time bounds to the scan. Only the order the user sees needs a
-shuffle; a ``count()`` over the result drops it.
+shuffle: to count, preview or store matches, take them from :func:`matching`.
 """
 
 from functools import reduce
@@ -18,12 +18,15 @@ from sievelog.operators.analytics import time_extent
 def in_time_order(logs: DataFrame) -> DataFrame:
     """Ascending time, ties by id.
 
-    The sort ranges also run over the input partition, so that many rows with one
-    time and one id do not all end up in one task.
+    A global sort first samples its input, which would run a search over the whole
+    table twice. So the matches are shuffled once by hash, and the sort samples and
+    reads those. Both steps also look at the input partition a row came from, so that
+    many rows with one time and one id do not all end up in one task.
     """
     origin = "_origin"
-    rows = logs.withColumn(origin, F.spark_partition_id())
-    return rows.orderBy("epoch_ms", "log_id", origin).drop(origin)
+    keys = ["epoch_ms", "log_id", origin]
+    rows = logs.withColumn(origin, F.spark_partition_id()).repartition(*keys)
+    return rows.orderBy(*keys).drop(origin)
 
 
 def time_between(logs: DataFrame, start_ms: int, end_ms: int) -> Column:

@@ -1,5 +1,7 @@
 """Precomputed text tables: postings (token -> rows) and the token dictionary."""
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,26 +33,34 @@ def build_postings(logs: DataFrame, index_fields: bool = True) -> DataFrame:
         tokens = log_tokens(F.col("service"), F.col("level"), F.col("message"))
     else:
         tokens = F.array_remove(F.array_distinct(message_words(F.col("message"))), "")
-    return logs.select(
-        F.explode(tokens).alias("token"),
-        "log_id",
-        row_key().alias("row_key"),
-        "epoch_ms",
-        "level",
-        "service",
+    # The hash comes before the explode, which would repeat it per token. The tokens stay
+    # inside the explode: over a plain column Spark adds a filter on its size, and that
+    # would split every message a second time.
+    rows = logs.withColumn("row_key", row_key())
+    return rows.select(
+        F.explode(tokens).alias("token"), "log_id", "row_key", "epoch_ms", "level", "service"
     )
 
 
-def write_postings(postings: DataFrame, path: str, files: int | None = None) -> None:
-    """Write sorted by token and time, so a reader skips what a term cannot be in.
+def token_head(token: Column) -> Column:
+    """Folder of a token: its first two characters, or ``~`` if it starts unlike a word."""
+    return F.when(token.rlike("^[a-z0-9_]"), F.left(token, F.lit(2))).otherwise(F.lit("~"))
+
+
+def write_postings(postings: DataFrame, path: str) -> None:
+    """Write by folders of token heads, inside each file sorted by token and time.
 
-    The ranges also run over time, id, key and input partition: a token of a third of
-    all rows becomes many files instead of one.
+    A term reads the folders it can be in and skips by file statistics there. The rows
+    move once and are not sampled first, which would split every message twice;
+    rebalancing splits the folder of a token that a third of all rows have.
     """
-    keys = ["token", "epoch_ms", "log_id", "row_key", "_origin"]
-    rows = postings.withColumn("_origin", F.spark_partition_id())
-    rows = rows.repartitionByRange(files, *keys) if files else rows.repartitionByRange(*keys)
-    rows.sortWithinPartitions("token", "epoch_ms").drop("_origin").write.parquet(path)
+    (
+        postings.withColumn("head", token_head(F.col("token")))
+        .hint("rebalance", "head")
+        .sortWithinPartitions("head", "token", "epoch_ms")
+        .write.partitionBy("head")
+        .parquet(path)
+    )
 
 
 def append_postings(batch: DataFrame, table: str, batch_id: int, index_fields: bool = True) -> None:
@@ -60,7 +70,8 @@ def append_postings(batch: DataFrame, table: str, batch_id: int, index_fields: b
 
 
 def open_postings(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(POSTINGS_SCHEMA).parquet(path)
+    schema = T.StructType([*POSTINGS_SCHEMA.fields, T.StructField("head", T.StringType())])
+    return spark.read.schema(schema).parquet(path)
 
 
 def open_posting_batches(spark: SparkSession, table: str) -> DataFrame:
@@ -90,7 +101,8 @@ def posting_hits(
 ) -> DataFrame:
     """Which rows match, from postings alone: id, key, time, level, service.
 
-    Exact copies of a row count once. Equality and literal heads reach the Parquet reader as token filters. With
+    Exact copies of a row count once. On a written table the term's first characters select folders;
+    equality and literal heads also reach the Parquet reader as token filters. With
     ``index_fields=False`` the answer covers message tokens only.
     """
     if not (keyword or prefix or wildcard):
@@ -98,6 +110,9 @@ def posting_hits(
     if (start_ms is None) != (end_ms is None):
         raise ValueError("give both time bounds or none")
     hits = postings.where(token_matches(F.col("token"), keyword, prefix, wildcard))
+    if "head" in postings.columns:
+        start = (keyword or prefix or wildcard.partition("*")[0]).lower()
+        hits = hits.where(_head_can_hold(start))
     if start_ms is not None:
         hits = hits.where(F.col("epoch_ms").between(start_ms, end_ms))
     for name, wanted in (("level", level), ("service", service)):
@@ -107,6 +122,17 @@ def posting_hits(
     return hits.distinct()
 
 
+def _head_can_hold(start: str) -> Column:
+    """Partition filter: the folders with tokens that begin with ``start``."""
+    if not start:
+        return F.lit(True)
+    if not re.match("[a-z0-9_]", start):
+        return F.col("head") == "~"
+    if len(start) == 1:
+        return F.startswith(F.col("head"), F.lit(start))
+    return F.col("head") == start[:2]
+
+
 def search_indexed(
     logs: DataFrame, postings: DataFrame, index_fields: bool = True, unique_ids: bool = True, **filters
 ) -> DataFrame:

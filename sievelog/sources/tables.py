@@ -35,19 +35,19 @@ def with_log_date(logs: DataFrame) -> DataFrame:
     return logs.withColumn("log_date", log_date(F.col("epoch_ms")))
 
 
-def write_clustered(logs: DataFrame, path: str, files: int | None = None) -> None:
+def write_clustered(logs: DataFrame, path: str, slot_ms: int = 3_600_000) -> None:
     """Write the log table partitioned by day and sorted by time inside each file.
 
-    Ranges run over day, time, id and the input partition, so a crowded day, instant
-    or id spreads over several files, and each file covers a narrow time range that
-    the reader can skip by its statistics.
+    Rows are gathered by day and time slot, so a file covers few slots and the reader
+    can skip by its statistics. Rebalancing needs no sampling pass over the logs, and
+    it splits a crowded slot, however many rows share one instant, into files of the
+    advisory size.
     """
-    keys = ["log_date", "epoch_ms", "log_id", "_origin"]
-    rows = with_log_date(logs).withColumn("_origin", F.spark_partition_id())
-    rows = rows.repartitionByRange(files, *keys) if files else rows.repartitionByRange(*keys)
+    rows = with_log_date(logs).withColumn("_slot", F.floor(F.col("epoch_ms") / F.lit(slot_ms)))
     (
-        rows.sortWithinPartitions("log_date", "epoch_ms", "log_id")
-        .drop("_origin")
+        rows.hint("rebalance", "log_date", "_slot")
+        .sortWithinPartitions("log_date", "epoch_ms", "log_id")
+        .drop("_slot")
         .write.mode("errorifexists")
         .partitionBy("log_date")
         .parquet(path)

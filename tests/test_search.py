@@ -170,7 +170,7 @@ def test_shard_search_equals_whole_search(messy):
 
 
 def test_preview_and_count(sample):
-    hits = sl.compound(sample, keyword="error")
+    hits = sl.matching(sample, keyword="error")
     assert sl.match_count(hits).first()["matches"] == 333
     assert [r.log_id for r in sl.preview(hits, 3).collect()] == [100002, 100005, 100008]
 
@@ -178,8 +178,9 @@ def test_preview_and_count(sample):
 def test_plans(sample):
     found = plan_of(sl.compound(sample, keyword="error", start_ms=1, end_ms=9))
     assert "GreaterThanOrEqual(epoch_ms,1)" in found and "LessThanOrEqual(epoch_ms,9)" in found
-    assert found.count("Exchange") == 1
+    # The matches move once before the sort, so that its sampling does not scan again.
+    assert found.count("Exchange hashpartitioning") == found.count("Exchange rangepartitioning") == 1
     assert "Exchange" not in plan_of(sl.search_wildcard(sample, "t*n"))
     assert "TakeOrderedAndProject" in plan_of(sl.preview(sl.search_exact(sample, "error")))
-    assert "Sort" not in plan_of(sl.match_count(sl.compound(sample, keyword="error")))
+    assert "hashpartitioning" not in plan_of(sl.match_count(sl.matching(sample, keyword="error")))
     assert "Window" not in plan_of(sl.first_per_id(sample))
