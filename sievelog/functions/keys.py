@@ -21,3 +21,14 @@ def shard_id(log_id: Column, shards: int = DEFAULT_SHARDS) -> Column:
 def row_key() -> Column:
     """Hash of the row's text fields; with id and time it tells rows of one id apart."""
     return F.xxhash64("timestamp", "level", "service", "message")
+
+
+def stretch(rows: int) -> Column:
+    """Number of the stretch of ``rows`` rows a row lies in within its input partition.
+
+    Copies of one row compress so well that a single file split can hold most of them.
+    As a further key of a shuffle this takes them apart; splits of ordinary length are
+    one stretch. The rows must come from files, where their order is the same on a retry.
+    """
+    in_partition = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    return F.floor(in_partition / F.lit(rows))

@@ -105,7 +105,7 @@ def compact(spark: SparkSession, table: str, tombstones: DataFrame, target: str)
     Rebalancing gathers the small files of a batch and splits a large one.
     """
     live = live_rows(open_logs(spark, table), tombstones).hint("rebalance", "batch_id")
-    live.withColumn("rejected", F.lit(False)).write.partitionBy("batch_id", "rejected").parquet(target)
+    live.withColumn("rejected", F.lit(False)).write.partitionBy("batch_id").parquet(target)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:

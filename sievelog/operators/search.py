@@ -19,14 +19,12 @@ def in_time_order(logs: DataFrame) -> DataFrame:
     """Ascending time, ties by id.
 
     A global sort first samples its input, which would run a search over the whole
-    table twice. So the matches are shuffled once by hash, and the sort samples and
-    reads those. Both steps also look at the input partition a row came from, so that
+    table twice. So the matches are dealt out evenly once, and the sort samples and
+    reads those. Its ranges also run over the partition a row was dealt to, so that
     many rows with one time and one id do not all end up in one task.
     """
-    origin = "_origin"
-    keys = ["epoch_ms", "log_id", origin]
-    rows = logs.withColumn(origin, F.spark_partition_id()).repartition(*keys)
-    return rows.orderBy(*keys).drop(origin)
+    dealt = logs.hint("rebalance").withColumn("_dealt", F.spark_partition_id())
+    return dealt.orderBy("epoch_ms", "log_id", "_dealt").drop("_dealt")
 
 
 def time_between(logs: DataFrame, start_ms: int, end_ms: int) -> Column:

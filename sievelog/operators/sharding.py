@@ -5,7 +5,7 @@ shard by shard and merging by time equals searching the whole table, so the shar
 search filters first and moves only the matches.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sievelog.functions.keys import shard_id
@@ -39,11 +39,10 @@ def shard_load(logs: DataFrame, shards: int = DEFAULT_SHARDS) -> DataFrame:
         .groupBy("shard")
         .agg(F.count("*").alias("records"))
     )
-    total = counts.agg(F.coalesce(F.sum("records"), F.lit(0)).alias("total")).scalar()
     every = logs.sparkSession.range(shards).withColumnRenamed("id", "shard")
-    records = F.coalesce("records", F.lit(0).cast("bigint"))
-    return every.join(counts, "shard", "left").select(
-        "shard",
-        records.alias("records"),
-        (records * 100.0 / F.greatest(total, F.lit(1).cast("bigint"))).alias("pct"),
+    load = every.join(counts, "shard", "left").select(
+        "shard", F.coalesce("records", F.lit(0).cast("bigint")).alias("records")
     )
+    # A total over as many rows as there are shards.
+    total = F.sum("records").over(Window.partitionBy(F.lit(0)))
+    return load.withColumn("pct", F.col("records") * 100.0 / F.greatest(total, F.lit(1)))

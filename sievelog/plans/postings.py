@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sievelog.functions.keys import row_key
+from sievelog.functions.keys import row_key, stretch
 from sievelog.functions.text import field_token, log_tokens, message_words, same_text, token_matches
 from sievelog.functions.timestamps import day_literal, log_date
 from sievelog.operators.search import matching
@@ -47,17 +47,21 @@ def token_head(token: Column) -> Column:
     return F.when(token.rlike("^[a-z0-9_]"), F.left(token, F.lit(2))).otherwise(F.lit("~"))
 
 
-def write_postings(postings: DataFrame, path: str) -> None:
+def write_postings(postings: DataFrame, path: str, stretch_rows: int = 1 << 24) -> None:
     """Write by folders of token heads, inside each file sorted by token and time.
 
     A term reads the folders it can be in and skips by file statistics there. The rows
     move once and are not sampled first, which would split every message twice;
-    rebalancing splits the folder of a token that a third of all rows have.
+    rebalancing splits the folder of a token that a third of all rows have, and
+    ``stretch_rows`` takes apart what one task alone adds to it. ``postings`` must be
+    built from a stored table.
     """
+    keys = {"head": token_head(F.col("token")), "_stretch": stretch(stretch_rows)}
     (
-        postings.withColumn("head", token_head(F.col("token")))
-        .hint("rebalance", "head")
+        postings.withColumns(keys)
+        .hint("rebalance", *keys)
         .sortWithinPartitions("head", "token", "epoch_ms")
+        .drop("_stretch")
         .write.partitionBy("head")
         .parquet(path)
     )

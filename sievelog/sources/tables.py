@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sievelog.functions.keys import stretch
 from sievelog.functions.timestamps import log_date
 from sievelog.schema import LOG_COLUMNS, LOG_SCHEMA
 from sievelog.sources.csv_logs import REJECT_COLUMNS
@@ -12,8 +13,8 @@ _BATCH_SCHEMA = T.StructType(
     [
         *LOG_SCHEMA.fields,
         *[T.StructField(c, T.StringType()) for c in REJECT_COLUMNS],
-        T.StructField("batch_id", T.LongType()),
         T.StructField("rejected", T.BooleanType()),
+        T.StructField("batch_id", T.LongType()),
     ]
 )
 
@@ -35,19 +36,23 @@ def with_log_date(logs: DataFrame) -> DataFrame:
     return logs.withColumn("log_date", log_date(F.col("epoch_ms")))
 
 
-def write_clustered(logs: DataFrame, path: str, slot_ms: int = 3_600_000) -> None:
+def write_clustered(
+    logs: DataFrame, path: str, slot_ms: int = 3_600_000, stretch_rows: int = 1 << 20
+) -> None:
     """Write the log table partitioned by day and sorted by time inside each file.
 
     Rows are gathered by day and time slot, so a file covers few slots and the reader
-    can skip by its statistics. Rebalancing needs no sampling pass over the logs, and
-    it splits a crowded slot, however many rows share one instant, into files of the
-    advisory size.
+    can skip by its statistics. Rebalancing needs no sampling pass over the logs and
+    splits a crowded slot into files of the advisory size; ``stretch_rows`` takes apart
+    rows that one task alone would add to a slot. ``logs`` must be a stored table.
     """
-    rows = with_log_date(logs).withColumn("_slot", F.floor(F.col("epoch_ms") / F.lit(slot_ms)))
+    rows = with_log_date(logs).withColumns(
+        {"_slot": F.floor(F.col("epoch_ms") / F.lit(slot_ms)), "_stretch": stretch(stretch_rows)}
+    )
     (
-        rows.hint("rebalance", "log_date", "_slot")
+        rows.hint("rebalance", "log_date", "_slot", "_stretch")
         .sortWithinPartitions("log_date", "epoch_ms", "log_id")
-        .drop("_slot")
+        .drop("_slot", "_stretch")
         .write.mode("errorifexists")
         .partitionBy("log_date")
         .parquet(path)

@@ -1,4 +1,5 @@
 import re
+from collections import Counter
 
 import pytest
 from conftest import BASE_MS, as_multiset, make_logs, matches_by_definition, plan_of
@@ -179,8 +180,23 @@ def test_plans(sample):
     found = plan_of(sl.compound(sample, keyword="error", start_ms=1, end_ms=9))
     assert "GreaterThanOrEqual(epoch_ms,1)" in found and "LessThanOrEqual(epoch_ms,9)" in found
     # The matches move once before the sort, so that its sampling does not scan again.
-    assert found.count("Exchange hashpartitioning") == found.count("Exchange rangepartitioning") == 1
+    assert found.count("Exchange RoundRobin") == found.count("Exchange rangepartitioning") == 1
     assert "Exchange" not in plan_of(sl.search_wildcard(sample, "t*n"))
     assert "TakeOrderedAndProject" in plan_of(sl.preview(sl.search_exact(sample, "error")))
-    assert "hashpartitioning" not in plan_of(sl.match_count(sl.matching(sample, keyword="error")))
+    assert "RoundRobin" not in plan_of(sl.match_count(sl.matching(sample, keyword="error")))
     assert "Window" not in plan_of(sl.first_per_id(sample))
+
+
+def test_copies_of_one_row_are_sorted_by_several_tasks(spark):
+    row = make_logs(spark, [(1, "2024-01-01 00:00:00", "INFO", "API", "again")]).first()
+    copies = spark.range(100_000, numPartitions=1).select(
+        *[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, sl.LOG_SCHEMA)]
+    )
+    # So few copies would rightly be gathered again by their size.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tasks = [r[0] for r in sl.in_time_order(copies).select(F.spark_partition_id()).collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(tasks) == 100_000
+    assert max(Counter(tasks).values()) < 50_000
