@@ -379,7 +379,7 @@ def stream_error_counts(spark, sf):
 
 def stream_alerts(spark, sf):
     sink = sl.scratch_path(spark, "alerts")
-    baseline = sl.error_baseline(events(spark, sf))
+    baseline = sl.materialise(sl.error_baseline(events(spark, sf)), "baseline")
     counts = streaming.stream_error_counts(_event_stream(spark, sf))
     streaming.start_alerts(
         counts, baseline, sink, sl.scratch_path(spark, "alerts-state"), **AVAILABLE

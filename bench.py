@@ -41,15 +41,16 @@ def drain(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
-def batch_queries(logs, n):
-    """``n`` selective queries taken from rows of the table: a word, a level, six hours."""
+def batch_queries(logs, step):
+    """Selective queries taken from every ``step``-th row: a word, a level, six hours."""
     i = F.col("log_id")
-    picked = logs.where(i < n)
+    picked = logs.where(i % step == 0)
+    kind = F.floor(i / step) % 3
     return picked.select(
         i.alias("query_id"),
-        F.when(i % 3 == 0, F.regexp_extract("message", r"(\d+)\}", 1)).alias("keyword"),
-        F.when(i % 3 == 1, F.substring("message", 1, 5)).alias("prefix"),
-        F.when(i % 3 == 2, F.concat(F.lit("*_"), (i % 10).cast("string"))).alias("wildcard"),
+        F.when(kind == 0, F.regexp_extract("message", r"(\d+)\}", 1)).alias("keyword"),
+        F.when(kind == 1, F.substring("message", 1, 5)).alias("prefix"),
+        F.when(kind == 2, F.concat(F.lit("*_"), (F.floor(i / step) % 10).cast("string"))).alias("wildcard"),
         (F.col("epoch_ms") - 3 * 3_600_000).alias("start_ms"),
         (F.col("epoch_ms") + 3 * 3_600_000).alias("end_ms"),
         "level",
@@ -60,17 +61,22 @@ def batch_queries(logs, n):
 def main() -> None:
     spark = session()
     path = lambda name: sl.scratch_path(spark, f"bench-{name}")
-    events = path("events")
-    sl.logs_from_events(spark.read.parquet(f"{SF_DIR}/events.parquet")).write.parquet(events)
-    logs = spark.read.schema(sl.LOG_SCHEMA).parquet(events)
-    docs = sl.logs_from_documents(spark.read.parquet(f"{SF_DIR}/documents.parquet"))
+
+    def stored(name, rows):
+        """As a log table of several files, as a cluster would hold it."""
+        target = path(name)
+        rows.repartition(int(CPUS)).write.parquet(target)
+        return spark.read.schema(sl.LOG_SCHEMA).parquet(target)
+
+    logs = stored("events", sl.logs_from_events(spark.read.parquet(f"{SF_DIR}/events.parquet")))
+    docs = stored("docs", sl.logs_from_documents(spark.read.parquet(f"{SF_DIR}/documents.parquet")))
     n_logs, n_docs = logs.count(), docs.count()
     csv = path("csv")
     sl.write_csv(logs, csv)
-    n_batch = min(BATCH, n_logs)
     asked = path("queries")
-    batch_queries(logs, n_batch).write.parquet(asked)
+    batch_queries(logs, max(1, n_logs // BATCH)).write.parquet(asked)
     asked = spark.read.schema(sl.QUERY_SCHEMA).parquet(asked)
+    n_batch = asked.count()
 
     def build_postings(source):
         target = path("postings")

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievelog.functions.text import contains_text, has_glob, has_prefix, has_token, same_text
-from sievelog.functions.timestamps import day_of, resolve_bounds
+from sievelog.functions.timestamps import bound_ms, day_of, resolve_bounds
 from sievelog.operators.analytics import time_extent
 
 
@@ -82,10 +82,11 @@ def search_time_range(logs: DataFrame, start_ms: int, end_ms: int) -> DataFrame:
 
 def search_time_text(logs: DataFrame, start="", end="") -> DataFrame:
     """Time range from user text: blank or unreadable bounds mean the table's own extent."""
-    extent = time_extent(logs).first()
-    if extent["min_ms"] is None:
-        return logs
-    return search_time_range(logs, *resolve_bounds(start, end, extent["min_ms"], extent["max_ms"]))
+    lo, hi = bound_ms(start), bound_ms(end)
+    if lo is None or hi is None:
+        extent = time_extent(logs).first()
+        lo, hi = resolve_bounds(lo, hi, extent["min_ms"] or 0, extent["max_ms"] or 0)
+    return search_time_range(logs, min(lo, hi), max(lo, hi))
 
 
 def search_time_exact(logs: DataFrame, epoch_ms: int) -> DataFrame:

@@ -11,17 +11,25 @@ are read once without moving. Beyond it, or when postings are given, the posting
 joined instead, and only the matching rows of the days with hits are fetched.
 """
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievelog.functions.keys import row_key
-from sievelog.functions.text import log_tokens
+from sievelog.functions.text import has_any_token, log_tokens
 from sievelog.functions.timestamps import log_date
 from sievelog.operators.analytics import time_extent
 from sievelog.operators.search import time_between
-from sievelog.plans.postings import build_postings, hit_days, on_days, token_dictionary
+from sievelog.plans.postings import (
+    build_postings,
+    hit_days,
+    on_days,
+    token_dictionary,
+    token_head,
+)
 from sievelog.schema import DAY_MS
-from sievelog.session import materialise
+from sievelog.session import materialise, measured
 
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -47,18 +55,22 @@ def batch_search(
     service indexed) and ``dictionary`` are used if given. ``broadcast_rows`` bounds the
     number of query keys that are broadcast.
     """
-    plan = materialise(_normalise(queries), "batch-queries")
-    use = plan.agg(
-        F.count_if(F.expr("kind = 'keyword'")).alias("keywords"),
-        F.count_if(F.expr("kind IN ('prefix', 'glob')")).alias("patterns"),
-        F.count_if(F.expr("kind IN ('none', 'any')")).alias("plain"),
-        F.count_if(F.expr("(start_ms IS NULL) <> (end_ms IS NULL)")).alias("half"),
-        F.count_if(F.expr("start_ms IS NULL")).alias("open"),
-        F.min("start_ms").alias("lo"),
-        F.max("end_ms").alias("hi"),
-    ).first()
+    plan, use = measured(
+        _normalise(queries),
+        "batch-queries",
+        keywords=_count("kind = 'keyword'"),
+        heads=_count("piece LIKE 'h%'"),
+        tails=_count("piece LIKE 't%'"),
+        grams=_count("piece LIKE 'g%'"),
+        plain=_count("kind IN ('none', 'any')"),
+        half=_count("(start_ms IS NULL) <> (end_ms IS NULL)"),
+        open=_count("start_ms IS NULL"),
+        lo=F.min("start_ms"),
+        hi=F.max("end_ms"),
+    )
     if use["half"]:
         raise ValueError("give both time bounds or none")
+    pieces = [kind for kind in ("heads", "tails", "grams") if use[kind]]
 
     if unique_ids and use["open"] == 0 and use["lo"] is not None:
         logs = logs.where(time_between(logs, use["lo"], use["hi"]))
@@ -66,31 +78,33 @@ def batch_search(
             postings = postings.where(F.col("epoch_ms").between(use["lo"], use["hi"]))
 
     results = []
-    keyed = []
-    if use["keywords"] or use["patterns"]:
-        tokens = _resolve(plan, use["patterns"], logs, postings, dictionary)
-        tokens = materialise(tokens, "batch-tokens")
-        if postings is None and _fits(tokens, broadcast_rows):
-            keyed.append(tokens)
+    keyed = {}
+    if use["keywords"] or pieces:
+        resolved = _resolve(plan, pieces, logs, postings, dictionary)
+        tokens, size = measured(resolved, "batch-tokens", **_size())
+        if postings is None and _fits(size, broadcast_rows):
+            keyed["tokens"] = tokens
         else:
             if postings is None:
                 postings = materialise(build_postings(logs), "batch-postings")
             results.append(_by_postings(logs, postings, tokens, unique_ids))
     if use["plain"]:
-        days = materialise(_day_keys(plan, logs), "batch-days")
-        if _fits(days, broadcast_rows):
-            keyed.append(days)
+        days, size = measured(_day_keys(plan, logs), "batch-days", **_size())
+        if _fits(size, broadcast_rows):
+            keyed["days"] = days
         else:
-            results.append(_by_scan(logs, days, unique_ids, repeats=False))
+            results.append(_by_scan(logs, days, unique_ids, tokens=False, days=True, repeats=False))
     if keyed:
-        keys = keyed[0] if len(keyed) == 1 else keyed[0].unionByName(keyed[1])
-        results.append(_by_scan(logs, F.broadcast(keys), unique_ids, repeats=use["patterns"] > 0))
+        keys = F.broadcast(reduce(DataFrame.unionByName, keyed.values()))
+        uses = {kind: kind in keyed for kind in ("tokens", "days")}
+        results.append(_by_scan(logs, keys, unique_ids, **uses, repeats=bool(pieces)))
     if not results:
         return logs.limit(0).select(F.lit(0).cast("bigint").alias("query_id"), *logs.columns)
-    out = results[0]
-    for more in results[1:]:
-        out = out.unionByName(more)
-    return out
+    return reduce(DataFrame.unionByName, results)
+
+
+def _count(condition: str) -> Column:
+    return F.count_if(F.expr(condition))
 
 
 def _normalise(queries: DataFrame) -> DataFrame:
@@ -118,36 +132,41 @@ def _normalise(queries: DataFrame) -> DataFrame:
         .withColumn("term", F.coalesce(keyword, prefix, bare))
         .withColumn("one_per_id", keyword.isNull() & F.coalesce(prefix, wildcard).isNotNull())
         .drop("_keyword", "_prefix", "_wildcard")
+        .withColumn("piece", _piece())
     )
 
 
+def _piece() -> Column:
+    """The literal piece of a prefix or glob by which the dictionary join finds it."""
+    parts = F.split("term", r"\*+")
+    head, tail = F.get(parts, F.lit(0)), F.element_at(parts, -1)
+    inner = F.get(F.array_remove(parts, ""), F.lit(0))
+    glob = (
+        F.when(head != "", F.concat(F.lit("h"), F.left(head, F.lit(_EDGE))))
+        .when(tail != "", F.concat(F.lit("t"), F.right(tail, F.lit(_EDGE))))
+        .otherwise(F.concat(F.lit("g"), F.left(inner, F.lit(_GRAM))))
+    )
+    prefix = F.concat(F.lit("h"), F.left("term", F.lit(_EDGE)))
+    return F.when(F.col("kind") == "prefix", prefix).when(F.col("kind") == "glob", glob)
+
+
 _RESIDUAL = ["start_ms", "end_ms", "q_level", "q_service"]
 _QUERY = ["query_id", "kind", *_RESIDUAL, "one_per_id"]
 
 
-def _resolve(plan, patterns, logs, postings, dictionary) -> DataFrame:
+def _resolve(plan, pieces, logs, postings, dictionary) -> DataFrame:
     """Query conditions with the token each query asks for, one row per token."""
     exact = plan.where("kind = 'keyword'").select(*_QUERY, F.col("term").alias("key"))
-    if not patterns:
+    if not pieces:
         return exact
     if dictionary is None:
         dictionary = token_dictionary(build_postings(logs) if postings is None else postings)
 
-    pieces = F.split("term", r"\*+")
-    head, tail = F.get(pieces, F.lit(0)), F.element_at(pieces, -1)
-    inner = F.get(F.array_remove(pieces, ""), F.lit(0))
-    piece = (
-        F.when(F.col("kind") == "prefix", F.concat(F.lit("h"), F.left("term", F.lit(_EDGE))))
-        .when(head != "", F.concat(F.lit("h"), F.left(head, F.lit(_EDGE))))
-        .when(tail != "", F.concat(F.lit("t"), F.right(tail, F.lit(_EDGE))))
-        .otherwise(F.concat(F.lit("g"), F.left(inner, F.lit(_GRAM))))
-    )
     like = F.replace(F.regexp_replace("term", r"([\\%_])", r"\\$1"), F.lit("*"), F.lit("%"))
     wanted = plan.where("kind IN ('prefix', 'glob')").select(
-        *_QUERY, "term", piece.alias("piece"), F.when(F.col("kind") == "glob", like).alias("like")
+        *_QUERY, "term", "piece", F.when(F.col("kind") == "glob", like).alias("like")
     )
-    used = {r[0] for r in wanted.select(F.left("piece", F.lit(1))).distinct().collect()}
-    tokens = dictionary.select("token", F.explode(_pieces(F.col("token"), used)).alias("piece"))
+    tokens = dictionary.select("token", F.explode(_pieces(F.col("token"), pieces)).alias("piece"))
     fits = F.when(F.col("like").isNull(), F.startswith("token", "term")).otherwise(
         F.like(F.col("token"), F.col("like"), F.lit("\\"))
     )
@@ -155,15 +174,15 @@ def _resolve(plan, patterns, logs, postings, dictionary) -> DataFrame:
     return exact.unionByName(found.select(*_QUERY, F.col("token").alias("key")))
 
 
-def _pieces(token: Column, used: set[str]) -> Column:
+def _pieces(token: Column, used: list[str]) -> Column:
     """The heads, tails and short inner pieces of a token that patterns can ask for."""
     sizes = F.sequence(F.lit(1), F.least(F.lit(_EDGE), F.char_length(token)))
     kinds = []
-    if "h" in used:
+    if "heads" in used:
         kinds.append(F.transform(sizes, lambda n: F.concat(F.lit("h"), F.left(token, n))))
-    if "t" in used:
+    if "tails" in used:
         kinds.append(F.transform(sizes, lambda n: F.concat(F.lit("t"), F.right(token, n))))
-    if "g" in used:
+    if "grams" in used:
         chars = F.filter(F.split(token, ""), lambda c: c != "")
         grams = [_grams(chars, n) for n in range(1, _GRAM + 1)]
         kinds.append(F.array_distinct(F.concat(*grams)))
@@ -198,12 +217,13 @@ def _day_key(day: Column) -> Column:
     return F.concat(F.lit(_DAY), day.cast("string"))
 
 
-def _fits(keys: DataFrame, limit: int) -> bool:
+def _size() -> dict[str, Column]:
+    return {"rows": F.count(F.lit(1)), "bytes": F.sum(F.octet_length("key"))}
+
+
+def _fits(size: dict, limit: int) -> bool:
     """Is a written key table small enough to broadcast, in rows and in bytes?"""
-    size = keys.agg(
-        F.count("*").alias("rows"), F.coalesce(F.sum(F.octet_length("key")), F.lit(0)).alias("bytes")
-    ).first()
-    return size["rows"] <= limit and size["bytes"] <= BROADCAST_BYTES
+    return size["rows"] <= limit and (size["bytes"] or 0) <= BROADCAST_BYTES
 
 
 def _residual() -> Column:
@@ -215,15 +235,21 @@ def _residual() -> Column:
     )
 
 
-def _by_scan(logs: DataFrame, keys: DataFrame, unique_ids: bool, repeats: bool) -> DataFrame:
+def _by_scan(
+    logs: DataFrame, keys: DataFrame, unique_ids: bool, tokens: bool, days: bool, repeats: bool
+) -> DataFrame:
     """Explode each row's keys in place and look them up; only matches are kept."""
     columns = logs.columns
-    tokens = log_tokens(F.col("service"), F.col("level"), F.col("message"))
-    rows = logs.withColumn("_row", F.monotonically_increasing_id()).withColumn("_tokens", tokens)
-    every = F.array_append("_tokens", _day_key(log_date(F.col("epoch_ms"))))
-    rows = rows.select(*columns, "_row", (F.size("_tokens") > 0).alias("_any"), F.explode(every).alias("key"))
-    keys = keys.withColumn("_kind", F.col("kind")).drop("kind")
-    found = rows.join(keys, "key").where((F.col("_kind") != "any") | F.col("_any"))
+    rows = logs.withColumn("_row", F.monotonically_increasing_id())
+    key = _day_key(log_date(F.col("epoch_ms")))
+    if tokens:
+        own = log_tokens(F.col("service"), F.col("level"), F.col("message"))
+        # The empty piece keeps this an expression: over a plain column Spark adds a
+        # filter on its size, and that would split every message a second time.
+        key = F.explode(F.concat(own, F.array(key) if days else F.array().cast("array<string>")))
+    found = rows.select(*columns, "_row", key.alias("key")).join(keys, "key")
+    if days:
+        found = found.where((F.col("kind") != "any") | has_any_token())
     if unique_ids:
         found = found.where(_residual())
     picked = found.select(*[c for c in _QUERY if c != "kind"], *columns, "_row")
@@ -236,6 +262,10 @@ def _by_scan(logs: DataFrame, keys: DataFrame, unique_ids: bool, repeats: bool)
 def _by_postings(logs, postings, tokens, unique_ids) -> DataFrame:
     """Join the postings, then fetch the rows found from the days that hold them."""
     columns = logs.columns
+    if "head" in postings.columns:
+        # One value per folder at most; the folders that hold no wanted token are not read.
+        heads = [r[0] for r in tokens.select(token_head(F.col("key"))).distinct().collect()]
+        postings = postings.where(F.col("head").isin(heads)).drop("head")
     found = postings.withColumnRenamed("token", "key").join(tokens, "key")
     if unique_ids:
         found = found.where(_residual())

@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
@@ -39,6 +39,15 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     Lost executors then re-read files instead of recomputing the lineage, and the
     planner knows the true size, so its broadcast threshold is a real check.
     """
+    return measured(df, name)[0]
+
+
+def measured(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, dict]:
+    """:func:`materialise`, with aggregates of the rows taken while they are written."""
     path = scratch_path(df.sparkSession, name)
+    seen = Observation(name)
+    if metrics:
+        df = df.observe(seen, *[m.alias(k) for k, m in metrics.items()])
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    return stored, seen.get if metrics else {}

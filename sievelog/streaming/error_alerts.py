@@ -42,7 +42,10 @@ def start_alerts(
     z: float = DEFAULT_Z,
     **trigger,
 ) -> StreamingQuery:
-    """Write windows at or above ``z`` against a one-row baseline table, by micro-batch."""
+    """Write windows at or above ``z`` by micro-batch, against a stored one-row baseline.
+
+    A computed ``baseline`` would be computed again for every micro-batch.
+    """
 
     def score(batch: DataFrame, batch_id: int) -> None:
         alerts = score_windows(batch, baseline, z)
