@@ -661,7 +661,7 @@ Q: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     ),
     "tombstones": (
         tombstones,
-        f"""WITH {LE} SELECT 0 AS batch_id, log_id, level, service, message FROM le WHERE log_id NOT IN {TO_DELETE}
+        f"""WITH {LE} SELECT 0::BIGINT AS batch_id, log_id, level, service, message FROM le WHERE log_id NOT IN {TO_DELETE}
         UNION ALL SELECT 1, log_id, level, service, message FROM le WHERE log_id % 2 = 0""",
     ),
     "postings": (postings, from_ld("true", "unnest(tokens) AS token, log_id, epoch_ms, level, service")),

@@ -91,7 +91,8 @@ def search_time_text(logs: DataFrame, start="", end="") -> DataFrame:
 
 def search_time_exact(logs: DataFrame, epoch_ms: int) -> DataFrame:
     """All rows of one millisecond."""
-    return logs.where(time_between(logs, epoch_ms, epoch_ms))
+    rows = logs.where(F.col("epoch_ms") == epoch_ms)
+    return rows.where(F.col("log_date") == day_of(epoch_ms)) if "log_date" in logs.columns else rows
 
 
 def search_substring(logs: DataFrame, text: str) -> DataFrame:

@@ -2,6 +2,7 @@ from sievelog.plans.batch_search import batch_search
 from sievelog.plans.postings import (
     append_postings,
     build_postings,
+    compact_postings,
     open_posting_batches,
     open_postings,
     posting_hits,

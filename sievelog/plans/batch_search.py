@@ -51,7 +51,8 @@ def batch_search(
 ) -> DataFrame:
     """``query_id`` plus the log columns, one row per query and matching log row.
 
-    Each query means the same as one call of ``matching``. ``postings`` (with level and
+    Each query means the same as one call of ``matching``. ``logs`` must be a table read
+    from files, whose rows can be numbered the same way on a retry. ``postings`` (with level and
     service indexed) and ``dictionary`` are used if given. ``broadcast_rows`` bounds the
     number of query keys that are broadcast.
     """

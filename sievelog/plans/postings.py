@@ -9,7 +9,9 @@ from pyspark.sql import types as T
 from sievelog.functions.keys import row_key, stretch
 from sievelog.functions.text import field_token, log_tokens, message_words, same_text, token_matches
 from sievelog.functions.timestamps import day_literal, log_date
+from sievelog.operators.lifecycle import live_rows
 from sievelog.operators.search import matching
+from sievelog.session import materialise
 
 POSTINGS_SCHEMA = T.StructType(
     [
@@ -83,6 +85,12 @@ def open_posting_batches(spark: SparkSession, table: str) -> DataFrame:
     return spark.read.schema(schema).parquet(table)
 
 
+def compact_postings(spark: SparkSession, table: str, tombstones: DataFrame, target: str) -> None:
+    """Postings of all batches without the deleted rows, as one table in folders."""
+    live = live_rows(open_posting_batches(spark, table), tombstones).drop("batch_id")
+    write_postings(materialise(live, "live-postings"), target)
+
+
 def token_dictionary(postings: DataFrame) -> DataFrame:
     """Distinct tokens with their row count and time span."""
     return postings.groupBy("token").agg(
@@ -97,18 +105,22 @@ def posting_hits(
     keyword: str | None = None,
     prefix: str | None = None,
     wildcard: str | None = None,
-    start_ms: int | None = None,
-    end_ms: int | None = None,
-    level: str | None = None,
-    service: str | None = None,
-    index_fields: bool = True,
+    **filters,
 ) -> DataFrame:
     """Which rows match, from postings alone: id, key, time, level, service.
 
-    Exact copies of a row count once. On a written table the term's first characters select folders;
-    equality and literal heads also reach the Parquet reader as token filters. With
-    ``index_fields=False`` the answer covers message tokens only.
+    Exact copies of a row count once. On a written table the term's first characters
+    select folders; equality and literal heads also reach the Parquet reader as token
+    filters. Postings built with ``index_fields=False`` answer for message words only.
+    ``filters`` are the time bounds, level and service of :func:`matching`.
     """
+    hits = _postings_of(postings, keyword, prefix, wildcard, **filters)
+    return hits.select("log_id", "row_key", "epoch_ms", "level", "service").distinct()
+
+
+def _postings_of(
+    postings, keyword=None, prefix=None, wildcard=None, start_ms=None, end_ms=None, level=None, service=None
+) -> DataFrame:
     if not (keyword or prefix or wildcard):
         raise ValueError("give a keyword, prefix or wildcard")
     if (start_ms is None) != (end_ms is None):
@@ -122,8 +134,7 @@ def posting_hits(
     for name, wanted in (("level", level), ("service", service)):
         cond = same_text(F.col(name), wanted)
         hits = hits if cond is None else hits.where(cond)
-    hits = hits.select("log_id", "row_key", "epoch_ms", "level", "service")
-    return hits.distinct()
+    return hits
 
 
 def _head_can_hold(start: str) -> Column:
@@ -151,7 +162,7 @@ def search_indexed(
     text = {k: v for k, v in filters.items() if k in ("keyword", "prefix", "wildcard")}
     if any(text.values()):
         # One row per id is chosen before the other filters, so they must not narrow it.
-        hits = posting_hits(postings, **(filters if unique_ids else text))
+        hits = _postings_of(postings, **(filters if unique_ids else text))
         days = set(hit_days(hits))
         if not index_fields:
             days.update(hit_days(logs.where(_field_matches(**text))))

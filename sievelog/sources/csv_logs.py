@@ -28,7 +28,8 @@ _OPTIONS = {
 }
 REJECT_COLUMNS = ["file", "raw", "reason"]
 
-# Fixed value: a comma followed by an even number of quotes separates fields.
+# Fixed value: a comma followed by an even number of quotes separates fields. Possessive,
+# so that a line of thousands of quotes does not exhaust the stack.
 _SEPARATOR = ',(?=(?:[^"]*+"[^"]*+")*+[^"]*+$)'
 
 

@@ -76,3 +76,8 @@ def test_tombstones_and_compaction(spark, tmp_path):
     postings = sl.open_posting_batches(spark, str(tmp_path / "p"))
     left = sl.live_rows(postings, tombs).where("token IN ('old', 'twin', 'kept', 'new', 'late')")
     assert {r.token for r in left.collect()} == {"kept", "new", "late"}
+    sl.compact_postings(spark, str(tmp_path / "p"), tombs, str(tmp_path / "pc"))
+    kept = sl.open_postings(spark, str(tmp_path / "pc"))
+    assert kept.count() == sl.live_rows(postings, tombs).count()
+    assert sl.posting_hits(kept, keyword="late").count() == 1
+    assert sl.posting_hits(kept, keyword="twin").count() == 0
