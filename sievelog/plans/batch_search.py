@@ -68,6 +68,7 @@ def batch_search(
         open=_count("start_ms IS NULL"),
         lo=F.min("start_ms"),
         hi=F.max("end_ms"),
+        span=F.max(F.col("end_ms").cast("double") - F.col("start_ms")),
     )
     if use["half"]:
         raise ValueError("give both time bounds or none")
@@ -84,7 +85,7 @@ def batch_search(
         resolved = _resolve(plan, pieces, logs, postings, dictionary)
         tokens, size = measured(resolved, "batch-tokens", **_size())
         if postings is None and _fits(size, broadcast_rows):
-            keyed["tokens"] = tokens
+            keyed["tokens"], size_of_tokens = tokens, size["rows"]
         else:
             if postings is None:
                 postings = materialise(build_postings(logs), "batch-postings")
@@ -96,8 +97,14 @@ def batch_search(
         else:
             results.append(_by_scan(logs, days, unique_ids, tokens=False, days=True, repeats=False))
     if keyed:
-        keys = F.broadcast(reduce(DataFrame.unionByName, keyed.values()))
         uses = {kind: kind in keyed for kind in ("tokens", "days")}
+        if "tokens" in keyed:
+            days_each = (use["span"] or 0) // DAY_MS + 2
+            if unique_ids and use["open"] == 0 and size_of_tokens * days_each <= broadcast_rows:
+                keyed["tokens"] = _by_day(keyed["tokens"])
+            else:
+                keyed = {kind: keys.drop("_day") for kind, keys in keyed.items()}
+        keys = F.broadcast(reduce(DataFrame.unionByName, keyed.values()))
         results.append(_by_scan(logs, keys, unique_ids, **uses, repeats=bool(pieces)))
     if not results:
         return logs.limit(0).select(F.lit(0).cast("bigint").alias("query_id"), *logs.columns)
@@ -211,7 +218,13 @@ def _day_keys(plan: DataFrame, logs: DataFrame) -> DataFrame:
         covered = covered.join(
             logs.select(log_date(F.col("epoch_ms")).alias("_day")).distinct(), "_day", "left_semi"
         )
-    return covered.select(*_QUERY, _day_key(F.col("_day")).alias("key"))
+    return covered.select(*_QUERY, _day_key(F.col("_day")).alias("key"), "_day")
+
+
+def _by_day(keys: DataFrame) -> DataFrame:
+    """Keys of queries with times, one per day: a row meets only the queries of its day."""
+    days = F.explode(F.sequence(log_date(F.col("start_ms")), log_date(F.col("end_ms"))))
+    return keys.where("start_ms <= end_ms").withColumn("_day", days)
 
 
 def _day_key(day: Column) -> Column:
@@ -248,7 +261,9 @@ def _by_scan(
         # The empty piece keeps this an expression: over a plain column Spark adds a
         # filter on its size, and that would split every message a second time.
         key = F.explode(F.concat(own, F.array(key) if days else F.array().cast("array<string>")))
-    found = rows.select(*columns, "_row", key.alias("key")).join(keys, "key")
+    day = log_date(F.col("epoch_ms")).alias("_day")
+    on = [c for c in ("key", "_day") if c in keys.columns]
+    found = rows.select(*columns, "_row", day, key.alias("key")).join(keys, on)
     if days:
         found = found.where((F.col("kind") != "any") | has_any_token())
     if unique_ids:

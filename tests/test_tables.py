@@ -153,11 +153,18 @@ def test_batch_search_equals_single_searches(spark, messy, how, unique):
 
 
 def test_batch_search_within_times(spark, clustered, messy):
-    some = [q for q in QUERIES if q[0] in (4, 20)]
+    some = [q for q in QUERIES if q[0] in (4, 12, 13, 14, 20)]
+    some.append((30, None, None, None, BASE_MS + 1, BASE_MS + DAY // 2, "ERROR", None))
+    some.append((31, "error", None, None, BASE_MS + DAY - 5, BASE_MS + DAY + 5, None, None))
+    some.append((32, "error", None, None, BASE_MS + DAY, BASE_MS, None, None))
     queries = spark.createDataFrame(some, QUERY_SCHEMA)
     for postings in (None, sl.build_postings(messy)):
         got = sl.batch_search(clustered, queries, postings=postings).drop("log_date")
         assert as_multiset(got) == expected(messy, True, some)
+    far = [(1, "error", None, None, -(2**62), 2**62, None, None)]
+    got = sl.batch_search(messy, spark.createDataFrame(far, QUERY_SCHEMA))
+    assert as_multiset(got) == expected(messy, True, far)
+    assert "_day" in plan_of(sl.batch_search(messy, spark.createDataFrame(some[-2:], QUERY_SCHEMA)))
 
 
 def test_batch_search_limits(spark, messy):
