@@ -1,10 +1,10 @@
 """Many queries against many logs in one job.
 
 Every query becomes a set of keys, every log row carries its keys, and one equi-join
-brings them together. Keys are tokens for queries with text and UTC days for queries
-without. Prefixes and globs become tokens first, by an equi-join of a short literal
-piece of the pattern with the same pieces of the distinct tokens, so no query is ever
-tried against every row or every token.
+brings them together. Keys are tokens for queries with text, UTC days for queries with
+times only, else service or level. Prefixes and globs become tokens first, by an
+equi-join of a short literal piece of the pattern with the same pieces of the distinct
+tokens, so no query is tried against every token.
 
 While the keys of the queries stay under a checked size they are broadcast and the logs
 are read once without moving. Beyond it, or when postings are given, the postings are
@@ -37,8 +37,12 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 # Lengths of the literal pieces that stand for a pattern in the dictionary join.
 _EDGE = 8
 _GRAM = 3
-# Starts a day key. Tokens are stripped of this character, so the two kinds never meet.
-_DAY = "\0"
+# What keys other than tokens start with. Tokens are stripped of this character, so the
+# kinds never meet.
+_DAY, _SERVICE, _LEVEL, _ALWAYS = "\0d", "\0s", "\0l", "\0"
+
+# Queries without a text filter, or with one that any token satisfies.
+_PLAIN = "kind IN ('none', 'any')"
 
 
 def batch_search(
@@ -63,7 +67,9 @@ def batch_search(
         heads=_count("piece LIKE 'h%'"),
         tails=_count("piece LIKE 't%'"),
         grams=_count("piece LIKE 'g%'"),
-        plain=_count("kind IN ('none', 'any')"),
+        dated=_count(f"{_PLAIN} AND start_ms IS NOT NULL"),
+        undated=_count(f"{_PLAIN} AND start_ms IS NULL"),
+        field_bytes=F.sum(_text_bytes("q_level", "q_service")),
         half=_count("(start_ms IS NULL) <> (end_ms IS NULL)"),
         open=_count("start_ms IS NULL"),
         lo=F.min("start_ms"),
@@ -90,22 +96,27 @@ def batch_search(
             if postings is None:
                 postings = materialise(build_postings(logs), "batch-postings")
             results.append(_by_postings(logs, postings, tokens, unique_ids))
-    if use["plain"]:
-        days, size = measured(_day_keys(plan, logs), "batch-days", **_size())
+    plain = plan.where(_PLAIN)
+    asked = {"rows": use["undated"], "bytes": use["field_bytes"]}
+    if use["undated"] and _fits(asked, broadcast_rows):
+        keyed["fields"] = _field_keys(plain.where("start_ms IS NULL"))
+        plain = plain.where("start_ms IS NOT NULL")
+        use["undated"] = 0
+    if use["dated"] or use["undated"]:
+        days, size = measured(_day_keys(plain, logs), "batch-days", **_size())
         if _fits(size, broadcast_rows):
             keyed["days"] = days
         else:
-            results.append(_by_scan(logs, days, unique_ids, tokens=False, days=True, repeats=False))
+            results.append(_by_scan(logs, days, unique_ids, {"days"}, repeats=False))
     if keyed:
-        uses = {kind: kind in keyed for kind in ("tokens", "days")}
         if "tokens" in keyed:
             days_each = (use["span"] or 0) // DAY_MS + 2
             if unique_ids and use["open"] == 0 and size_of_tokens * days_each <= broadcast_rows:
                 keyed["tokens"] = _by_day(keyed["tokens"])
-            else:
-                keyed = {kind: keys.drop("_day") for kind, keys in keyed.items()}
+        if any("_day" not in keys.columns for keys in keyed.values()):
+            keyed = {kind: keys.drop("_day") for kind, keys in keyed.items()}
         keys = F.broadcast(reduce(DataFrame.unionByName, keyed.values()))
-        results.append(_by_scan(logs, keys, unique_ids, **uses, repeats=bool(pieces)))
+        results.append(_by_scan(logs, keys, unique_ids, set(keyed), repeats=bool(pieces)))
     if not results:
         return logs.limit(0).select(F.lit(0).cast("bigint").alias("query_id"), *logs.columns)
     return reduce(DataFrame.unionByName, results)
@@ -204,13 +215,23 @@ def _grams(chars: Column, size: int) -> Column:
     return F.transform(chars, gram)
 
 
+def _field_keys(plan: DataFrame) -> DataFrame:
+    """Queries without text and times, by service, else by level, else as always asked."""
+    key = (
+        F.when(F.col("q_service").isNotNull(), F.concat(F.lit(_SERVICE), "q_service"))
+        .when(F.col("q_level").isNotNull(), F.concat(F.lit(_LEVEL), "q_level"))
+        .otherwise(_ALWAYS)
+    )
+    return plan.select(*_QUERY, key.alias("key"))
+
+
 def _day_keys(plan: DataFrame, logs: DataFrame) -> DataFrame:
     """Queries without text, one row per day they cover within the table's extent."""
     extent = time_extent(logs).first()
     lo, hi = extent["min_ms"] or 0, extent["max_ms"] or 0
     start = F.greatest(F.coalesce("start_ms", F.lit(lo)), F.lit(lo))
     end = F.least(F.coalesce("end_ms", F.lit(hi)), F.lit(hi))
-    spans = plan.where("kind IN ('none', 'any')").withColumns({"_lo": start, "_hi": end})
+    spans = plan.withColumns({"_lo": start, "_hi": end})
     days = F.explode(F.sequence(log_date(F.col("_lo")), log_date(F.col("_hi"))))
     covered = spans.where("_lo <= _hi").select(*_QUERY, days.alias("_day"))
     if (hi - lo) // DAY_MS > 3660:
@@ -232,7 +253,11 @@ def _day_key(day: Column) -> Column:
 
 
 def _size() -> dict[str, Column]:
-    return {"rows": F.count(F.lit(1)), "bytes": F.sum(F.octet_length("key"))}
+    return {"rows": F.count(F.lit(1)), "bytes": F.sum(_text_bytes("key", "q_level", "q_service"))}
+
+
+def _text_bytes(*columns: str) -> Column:
+    return F.octet_length(F.concat_ws("", *columns))
 
 
 def _fits(size: dict, limit: int) -> bool:
@@ -250,21 +275,31 @@ def _residual() -> Column:
 
 
 def _by_scan(
-    logs: DataFrame, keys: DataFrame, unique_ids: bool, tokens: bool, days: bool, repeats: bool
+    logs: DataFrame, keys: DataFrame, unique_ids: bool, kinds: set[str], repeats: bool
 ) -> DataFrame:
     """Explode each row's keys in place and look them up; only matches are kept."""
     columns = logs.columns
     rows = logs.withColumn("_row", F.monotonically_increasing_id())
-    key = _day_key(log_date(F.col("epoch_ms")))
-    if tokens:
-        own = log_tokens(F.col("service"), F.col("level"), F.col("message"))
-        # The empty piece keeps this an expression: over a plain column Spark adds a
-        # filter on its size, and that would split every message a second time.
-        key = F.explode(F.concat(own, F.array(key) if days else F.array().cast("array<string>")))
+    own = []
+    if "days" in kinds:
+        own.append(_day_key(log_date(F.col("epoch_ms"))))
+    if "fields" in kinds:
+        own += [
+            F.concat(F.lit(_SERVICE), F.upper("service")),
+            F.concat(F.lit(_LEVEL), F.upper("level")),
+            F.lit(_ALWAYS),
+        ]
+    every = F.array(*own).cast("array<string>")
+    if "tokens" in kinds:
+        tokens = log_tokens(F.col("service"), F.col("level"), F.col("message"))
+        # Even with nothing to add this keeps an expression: over a plain column Spark
+        # adds a filter on its size, and that would split every message a second time.
+        every = F.concat(tokens, every)
+    key = F.explode(every)
     day = log_date(F.col("epoch_ms")).alias("_day")
     on = [c for c in ("key", "_day") if c in keys.columns]
     found = rows.select(*columns, "_row", day, key.alias("key")).join(keys, on)
-    if days:
+    if kinds != {"tokens"}:
         found = found.where((F.col("kind") != "any") | has_any_token())
     if unique_ids:
         found = found.where(_residual())
