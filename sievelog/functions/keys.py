@@ -19,7 +19,10 @@ def shard_id(log_id: Column, shards: int = DEFAULT_SHARDS) -> Column:
 
 
 def row_key() -> Column:
-    """Hash of the row's text fields; with id and time it tells rows of one id apart."""
+    """Hash of the row's text fields; with id and time it tells rows of one id apart.
+
+    Two rows are mistaken for each other only if id, millisecond and 64-bit hash agree.
+    """
     return F.xxhash64("timestamp", "level", "service", "message")
 
 

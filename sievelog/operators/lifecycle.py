@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 from sievelog.functions.text import strip_blank
 from sievelog.schema import LOG_COLUMNS
-from sievelog.sources.csv_logs import fill_defaults, with_times, write_batch
+from sievelog.sources.csv_logs import REJECT_COLUMNS, fill_defaults, with_times, write_batch
 from sievelog.sources.tables import open_logs
 
 TOMBSTONE_SCHEMA = T.StructType(
@@ -58,7 +58,8 @@ def append_logs(
         earlier = open_logs(spark, table).where(F.col("batch_id") < batch_id)
     rows = with_ids(rows, earlier)
     none = F.lit(None).cast("string")
-    write_batch(rows.select(*LOG_COLUMNS, *[none.alias(c) for c in ("file", "raw", "reason")]), table, batch_id)
+    rows = rows.select(*LOG_COLUMNS, *[none.alias(c) for c in REJECT_COLUMNS])
+    write_batch(rows, table, batch_id)
     return open_logs(spark, table).where(F.col("batch_id") == batch_id)
 
 

@@ -56,10 +56,13 @@ def batch_search(
     """``query_id`` plus the log columns, one row per query and matching log row.
 
     Each query means the same as one call of ``matching``. ``logs`` must be a table read
-    from files, whose rows can be numbered the same way on a retry. ``postings`` (with level and
-    service indexed) and ``dictionary`` are used if given. ``broadcast_rows`` bounds the
-    number of query keys that are broadcast.
+    from files, whose rows can be numbered the same way on a retry. ``postings`` (with
+    level and service indexed) and ``dictionary`` are used if given. ``broadcast_rows``
+    bounds the number of query keys that are broadcast.
     """
+    # One row per id is chosen before the other filters, so they must not choose the keys.
+    narrow = "true" if unique_ids else "NOT one_per_id"
+    dated = f"start_ms IS NOT NULL AND {narrow}"
     plan, use = measured(
         _normalise(queries),
         "batch-queries",
@@ -67,8 +70,8 @@ def batch_search(
         heads=_count("piece LIKE 'h%'"),
         tails=_count("piece LIKE 't%'"),
         grams=_count("piece LIKE 'g%'"),
-        dated=_count(f"{_PLAIN} AND start_ms IS NOT NULL"),
-        undated=_count(f"{_PLAIN} AND start_ms IS NULL"),
+        dated=_count(f"{_PLAIN} AND {dated}"),
+        undated=_count(f"{_PLAIN} AND NOT ({dated})"),
         field_bytes=F.sum(_text_bytes("q_level", "q_service")),
         half=_count("(start_ms IS NULL) <> (end_ms IS NULL)"),
         open=_count("start_ms IS NULL"),
@@ -99,11 +102,11 @@ def batch_search(
     plain = plan.where(_PLAIN)
     asked = {"rows": use["undated"], "bytes": use["field_bytes"]}
     if use["undated"] and _fits(asked, broadcast_rows):
-        keyed["fields"] = _field_keys(plain.where("start_ms IS NULL"))
-        plain = plain.where("start_ms IS NOT NULL")
+        keyed["fields"] = _field_keys(plain.where(f"NOT ({dated})"), narrow)
+        plain = plain.where(dated)
         use["undated"] = 0
     if use["dated"] or use["undated"]:
-        days, size = measured(_day_keys(plain, logs), "batch-days", **_size())
+        days, size = measured(_day_keys(plain, logs, dated), "batch-days", **_size())
         if _fits(size, broadcast_rows):
             keyed["days"] = days
         else:
@@ -146,7 +149,9 @@ def _normalise(queries: DataFrame) -> DataFrame:
         F.when(F.upper(c) != "ALL", F.upper(c)).alias(f"q_{c}") for c in ("level", "service")
     ]
     return (
-        queries.select("query_id", "start_ms", "end_ms", *fields, *[v.alias(f"_{c}") for c, v in given.items()])
+        queries.select(
+            "query_id", "start_ms", "end_ms", *fields, *[v.alias(f"_{c}") for c, v in given.items()]
+        )
         .withColumn("kind", kind)
         .withColumn("term", F.coalesce(keyword, prefix, bare))
         .withColumn("one_per_id", keyword.isNull() & F.coalesce(prefix, wildcard).isNotNull())
@@ -215,22 +220,24 @@ def _grams(chars: Column, size: int) -> Column:
     return F.transform(chars, gram)
 
 
-def _field_keys(plan: DataFrame) -> DataFrame:
+def _field_keys(plan: DataFrame, narrow: str) -> DataFrame:
     """Queries without text and times, by service, else by level, else as always asked."""
     key = (
-        F.when(F.col("q_service").isNotNull(), F.concat(F.lit(_SERVICE), "q_service"))
+        F.when(~F.expr(narrow), _ALWAYS)
+        .when(F.col("q_service").isNotNull(), F.concat(F.lit(_SERVICE), "q_service"))
         .when(F.col("q_level").isNotNull(), F.concat(F.lit(_LEVEL), "q_level"))
         .otherwise(_ALWAYS)
     )
     return plan.select(*_QUERY, key.alias("key"))
 
 
-def _day_keys(plan: DataFrame, logs: DataFrame) -> DataFrame:
+def _day_keys(plan: DataFrame, logs: DataFrame, dated: str) -> DataFrame:
     """Queries without text, one row per day they cover within the table's extent."""
     extent = time_extent(logs).first()
     lo, hi = extent["min_ms"] or 0, extent["max_ms"] or 0
-    start = F.greatest(F.coalesce("start_ms", F.lit(lo)), F.lit(lo))
-    end = F.least(F.coalesce("end_ms", F.lit(hi)), F.lit(hi))
+    start, end = (F.when(F.expr(dated), F.col(c)) for c in ("start_ms", "end_ms"))
+    start = F.greatest(F.coalesce(start, F.lit(lo)), F.lit(lo))
+    end = F.least(F.coalesce(end, F.lit(hi)), F.lit(hi))
     spans = plan.withColumns({"_lo": start, "_hi": end})
     days = F.explode(F.sequence(log_date(F.col("_lo")), log_date(F.col("_hi"))))
     covered = spans.where("_lo <= _hi").select(*_QUERY, days.alias("_day"))

@@ -119,6 +119,10 @@ QUERIES = [
     (20, None, None, "*_1", BASE_MS, BASE_MS + 2 * DAY, None, None),
     (21, None, None, "*s*r*c*", None, None, None, None),
     (22, None, "connectio", None, None, None, None, None),
+    (23, None, None, "*", BASE_MS, BASE_MS + DAY, "INFO", None),
+    (24, None, None, "*", None, None, "ERROR", "auth"),
+    (25, None, None, "*", None, None, None, "API"),
+    (26, None, None, None, None, None, "error", None),
 ]
 
 
