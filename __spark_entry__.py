@@ -724,6 +724,21 @@ Q: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
 }
 
 
+def _training_text_queries():
+    """Queries of the optional subpackage and its pipeline, if the folders are there."""
+    try:
+        import corpus_pipeline
+        from sievelog.llm.queries import QUERIES
+    except ModuleNotFoundError as missing:
+        if not (missing.name or "").startswith(("sievelog.llm", "corpus_pipeline")):
+            raise
+        return {}
+    return QUERIES | {"pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL)}
+
+
+Q |= _training_text_queries()
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Compound search: keyword, service and one week, ascending in time."""
     return compound_query(spark, "/root/testdata/sf0.001")
