@@ -1,7 +1,44 @@
 """The registered queries of this package: ``QUERIES[name] = (run, duckdb_sql or None)``."""
 
+from pyspark.sql import functions as F
+
+from sievelog.llm import secret_scan
 from sievelog.llm.common import table
 from sievelog.llm.exact_dedup import exact_duplicates
+from sievelog.llm.mixing import mix_sources
+from sievelog.llm.quality_rules import quality_rules
+
+# ---- mixing sources ---------------------------------------------------------------
+
+
+def op2_mix_sources(spark, sf):
+    return mix_sources(table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+OP2_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || '|' || coalesce(text, '')), 1, 15))::BIGINT AS shuffle
+  FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+w AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS nth FROM s),
+v AS (SELECT *, [5.0, 2.0, 1.0][nth % 3 + 1]::DOUBLE AS weight, source_size * 2.0::DOUBLE AS most FROM w),
+f AS (SELECT *, most * (sum(weight) OVER () - coalesce(sum(weight) OVER b, 0))
+          <= (1.5 * sum(source_size) OVER () - coalesce(sum(most) OVER b, 0)) * weight AS is_full
+      FROM v WINDOW b AS (ORDER BY most / weight, nth ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+t AS (SELECT *, CASE WHEN is_full THEN most ELSE weight * (1.5 * sum(source_size) OVER () - sum(CASE WHEN is_full THEN most ELSE 0 END) OVER ())
+          / nullif(sum(CASE WHEN is_full THEN 0 ELSE weight END) OVER (), 0) END::DOUBLE AS target FROM f),
+q AS (SELECT doc_id, d.source, shuffle, size, source_size, target,
+             sum(size) OVER (PARTITION BY d.source ORDER BY shuffle, doc_id RANGE UNBOUNDED PRECEDING) AS done
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+c AS (SELECT doc_id, shuffle, size, (done + k * source_size) / nullif(target, 0) AS finish, k
+      FROM q, (SELECT unnest([0, 1]) AS k) WHERE size > 0),
+m AS (SELECT *, sum(size) OVER (ORDER BY finish, shuffle, doc_id, k RANGE UNBOUNDED PRECEDING) AS upto FROM c),
+n AS (SELECT doc_id, shuffle, count(*) AS copies FROM m WHERE upto <= 1.5 * (SELECT sum(size) FROM d) GROUP BY ALL)
+SELECT q.doc_id, size, source_size, coalesce(target, 0) AS target, (coalesce(copies, 0) * size)::BIGINT AS taken
+FROM q LEFT JOIN n ON q.shuffle = n.shuffle AND q.doc_id IS NOT DISTINCT FROM n.doc_id"""
+
+# ---- exact duplicates -------------------------------------------------------------
 
 
 def op5_exact_dedup(spark, sf):
@@ -15,7 +52,90 @@ WITH t AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\
 SELECT doc_id, min(doc_id) OVER (PARTITION BY s) AS keep_id, count(*) OVER (PARTITION BY s) AS group_size,
        doc_id = min(doc_id) OVER (PARTITION BY s) AS kept, s AS text_sha256 FROM t"""
 
+# ---- secrets ----------------------------------------------------------------------
+
+
+def op9_secret_scan(spark, sf):
+    found = secret_scan.secret_spans(table(spark, sf, "documents"))
+    base = [n for n, r in enumerate(secret_scan.RULES) if r.kind in secret_scan.BASE]
+    rules = F.transform("spans", lambda s: s["rule"])
+    counts = [
+        (F.size(rules) - F.size(F.array_remove(rules, n))).cast("long").alias(f"n_{secret_scan.RULES[n].kind}") for n in base
+    ]
+    listed = secret_scan.spans_text(F.filter("spans", lambda s: s["rule"].isin(base)))
+    return found.select(
+        "doc_id", *counts, F.sha2(listed.cast("binary"), 256).alias("base_sha256"), secret_scan.spans_text(F.col("spans")).alias("spans")
+    )
+
+
+def _sql_any_case(word: str) -> str:
+    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
+
+
+#: Spelt in both cases in SQL: DuckDB also folds letters beyond ASCII.
+KEYWORDS = ("password", "passwd", "secret", "token", "api_?key")
+
+
+def _sql_pattern(rule) -> str:
+    pattern = rule.pattern
+    for word in KEYWORDS:
+        pattern = pattern.replace(word, _sql_any_case(word))
+    return pattern.replace("(?i:", "(?:").replace("'", "''")
+
+
+def _op9_sql() -> str:
+    parts = []
+    for n, r in enumerate(secret_scan.RULES):
+        p = _sql_pattern(r)
+        parts.append(f"""
+SELECT doc_id, {n} AS rule, '{r.kind}' AS kind, g, e - length(m) AS b, e FROM (
+  SELECT doc_id, m, g, sum(length(m) + length(gap)) OVER (PARTITION BY doc_id ORDER BY i) AS e FROM (
+    SELECT doc_id, unnest(regexp_extract_all(t, '{p}')) AS m, unnest(regexp_extract_all(t, '{p}', {r.group})) AS g,
+           unnest(regexp_split_to_array(t, '{p}')[:-2]) AS gap, unnest(range(len(regexp_extract_all(t, '{p}')))) AS i FROM d))
+WHERE length(g) >= {r.least}""")
+    listed = "string_agg(kind || ':' || b || ':' || e, ',' ORDER BY b, rule)"
+    counts = ", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in secret_scan.BASE)
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+s AS ({" UNION ALL ".join(parts)}),
+a AS (SELECT doc_id, {", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in secret_scan.BASE)},
+             {listed} FILTER (rule < 3) AS base, {listed} AS spans FROM s GROUP BY doc_id)
+SELECT doc_id, {counts}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN a USING (doc_id)"""
+
+
+# ---- quality rules ----------------------------------------------------------------
+
+
+def op10_quality_rules(spark, sf):
+    return quality_rules(table(spark, sf, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
+OP10_SQL = r"""
+WITH d AS (SELECT doc_id, source, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
+                  list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+           FROM (SELECT doc_id, source, coalesce(text, '') AS t FROM documents)),
+g AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, a, b, c) AS n
+      FROM (SELECT doc_id, unnest(range(len(w) - 2)) AS i, unnest(w[:-3]) AS a, unnest(w[2:-2]) AS b, unnest(w[3:]) AS c FROM d WHERE len(w) > 2)),
+r AS (SELECT doc_id, sum(least(3, coalesce(nxt - i, 3)))::BIGINT AS n_repeat_words
+      FROM (SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS nxt FROM g WHERE n > 1) GROUP BY doc_id),
+m AS (SELECT doc_id, source, len(w)::BIGINT AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
+             (length(t) - length(translate(t, '#*$%&|<>', '')))::BIGINT AS n_symbols, len(lines)::BIGINT AS n_lines,
+             (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words
+      FROM d LEFT JOIN r USING (doc_id)),
+f AS (SELECT *, n_words < 50 AS f1, 100 * n_repeat_words > 50 * n_words AS f2, 5 * n_symbols > word_chars AS f3, 2 * n_dup_lines > n_lines AS f4 FROM m),
+h AS (SELECT source, count(*) AS n, unnest([sum(f1::INT), sum(f2::INT), sum(f3::INT), sum(f4::INT)]) AS k, unnest([1, 2, 3, 4]) AS rule FROM f GROUP BY source),
+p AS (SELECT rule, avg(k / n) AS mean, greatest(1, least(1000, CASE WHEN var_pop(k / n) > 0 THEN avg(k / n) * (1 - avg(k / n)) / var_pop(k / n) - 1 ELSE 1000 END)) AS prior
+      FROM h GROUP BY rule),
+o AS (SELECT source, bool_or((k + mean * prior) / (n + prior) > 0.5) AS failed FROM h JOIN p USING (rule) GROUP BY source)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, f1 OR f2 AS base_failed, NOT (f1 OR f2 OR failed) AS kept
+FROM f JOIN o ON f.source IS NOT DISTINCT FROM o.source"""
+
 
 QUERIES = {
+    "op2_mix_sources": (op2_mix_sources, OP2_SQL),
     "op5_exact_dedup": (op5_exact_dedup, OP5_SQL),
+    "op9_secret_scan": (op9_secret_scan, _op9_sql()),
+    "op10_quality_rules": (op10_quality_rules, OP10_SQL),
 }
