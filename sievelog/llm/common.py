@@ -32,3 +32,21 @@ def word_count(text: str) -> Column:
 def row_tasks(spark: SparkSession) -> int:
     """Partitions for a shuffle whose size the planner does not see."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def packed(docs: DataFrame) -> Column:
+    """All columns as one struct ``row``, so that none clashes with a column of the operator."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+
+
+def unpacked(docs: DataFrame) -> list[Column]:
+    """The columns of ``docs`` from ``row``."""
+    return [F.col(f"row.`{c}`").alias(c) for c in docs.columns]
+
+
+def free_name(docs: DataFrame, name: str) -> str:
+    """``name``, with as many underscores before it as make it new in ``docs``."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

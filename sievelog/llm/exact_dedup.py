@@ -17,7 +17,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievelog.llm.common import SPACES, materialise, row_tasks, whole
+from sievelog.llm.common import SPACES, materialise, packed, row_tasks, unpacked, whole
 
 #: Key bits the directory may use: at most 65,536 cells, small enough to broadcast.
 DIRECTORY_BITS = 16
@@ -161,12 +161,11 @@ def exact_duplicates(docs: DataFrame, id_col="doc_id", text_col="text", capacity
 
 def drop_exact_duplicates(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
     """The rows of ``docs`` that stay, with their own columns; see :func:`exact_duplicates`."""
-    own = [F.col(f"row.{c}").alias(c) for c in docs.columns]
     stay = exact_duplicates(docs, id_col, text_col).where("kept").select("doc_id", F.unhex("text_sha256").alias("sha"))
     norm = F.regexp_replace(whole(text_col), SPACES, " ")
     rows = docs.select(
-        F.struct(*docs.columns).alias("row"), F.col(id_col).cast("long").alias("id"),
+        packed(docs), F.col(id_col).cast("long").alias("id"),
         F.unhex(F.sha2(norm.cast("binary"), 256)).alias("text_sha"),
     )
     matched = rows.join(stay, (rows.text_sha == stay.sha) & F.col("id").eqNullSafe(stay.doc_id), "left_semi")
-    return matched.dropDuplicates(["text_sha", "id"]).select(*own)
+    return matched.dropDuplicates(["text_sha", "id"]).select(*unpacked(docs))

@@ -16,7 +16,7 @@ from math import ceil
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievelog.llm.common import materialise, whole, word_count
+from sievelog.llm.common import materialise, packed, unpacked, whole, word_count
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
@@ -146,10 +146,10 @@ def mixed_documents(docs: DataFrame, id_col="doc_id", text_col="text", source_co
     plan = mix_sources(docs, id_col, text_col, source_col, **how).where("copies > 0")
     plan = plan.select(F.col("doc_id").alias("p_id"), F.col("shuffle").alias("p_shuffle"), "first_finish", "source_size", "target", "copies")
     rows = docs.select(
-        F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"), shuffle_key(id_col, text_col).alias("at")
+        packed(docs), F.col(id_col).alias("id"), shuffle_key(id_col, text_col).alias("at")
     )
     taken = rows.join(plan.dropDuplicates(["p_id", "p_shuffle"]), (F.col("at") == F.col("p_shuffle")) & F.col("id").eqNullSafe(F.col("p_id")))
     copy = F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy")
     taken = taken.select("row", "at", "first_finish", (F.col("source_size") / F.col("target")).alias("round"), copy)
     ordered = taken.orderBy(F.col("first_finish") + F.col("copy") * F.col("round"), "at")
-    return ordered.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    return ordered.select(*unpacked(docs))

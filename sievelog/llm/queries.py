@@ -2,12 +2,37 @@
 
 from pyspark.sql import functions as F
 
-from sievelog.llm import secret_scan
-from sievelog.llm.common import table
+from sievelog.llm import language_id, secret_scan, toxicity
+from sievelog.llm.common import held_out, table
 from sievelog.llm.exact_dedup import exact_duplicates
 from sievelog.llm.mixing import mix_sources
 from sievelog.llm.quality_rules import quality_rules
 
+# ---- language ---------------------------------------------------------------------
+
+
+def op1_language_id(spark, sf):
+    docs = table(spark, sf, "documents")
+    model = language_id.fit(docs.where(~held_out(F.col("doc_id"))))
+    told = language_id.identify(docs.select("doc_id", "text"), model)
+    return told.select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "accepted"
+    )
+
+
+# ---- toxicity ---------------------------------------------------------------------
+
+
+def op4_toxicity(spark, sf):
+    docs = table(spark, sf, "documents")
+    labels = table(spark, sf, "labels").where(~held_out(F.col("doc_id")))
+    weights, bias = toxicity.fit(toxicity.training_rows(docs, labels))
+    scored = toxicity.score(docs, weights, bias)
+    return scored.select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 # ---- mixing sources ---------------------------------------------------------------
 
 
@@ -134,6 +159,8 @@ FROM f JOIN o ON f.source IS NOT DISTINCT FROM o.source"""
 
 
 QUERIES = {
+    "op1_language_id": (op1_language_id, None),
+    "op4_toxicity": (op4_toxicity, None),
     "op2_mix_sources": (op2_mix_sources, OP2_SQL),
     "op5_exact_dedup": (op5_exact_dedup, OP5_SQL),
     "op9_secret_scan": (op9_secret_scan, _op9_sql()),
