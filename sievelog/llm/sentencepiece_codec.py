@@ -150,7 +150,7 @@ class DoubleArray:
             bases[node], begin[len(steps)] = starts[0], low
             taken[starts[0] + steps] = True
         place = np.zeros(len(children), np.int32)
-        base, check, value = (np.full(len(taken), v, np.int32) for v in (0, -1, -1))
+        base, check, value = (np.full(len(taken) + 256, v, np.int32) for v in (0, -1, -1))  # any byte stays inside
         check[0], value[0] = 0, ends[0]
         for node, edges in enumerate(children):  # parents come before children
             here = place[node]
@@ -165,7 +165,7 @@ class DoubleArray:
         state, base, check, value = 0, self.base, self.check, self.value
         for end in range(at, len(data)):
             t = base[state] + data[end] + 1
-            if t >= len(check) or check[t] != state or not t:
+            if check[t] != state or not t:
                 return
             state = t
             if value[t] >= 0:
@@ -179,6 +179,7 @@ class Codec:
         self.pieces = pieces
         self.ids = {t.encode(): i for i, (t, k) in enumerate(zip(pieces.texts, pieces.kinds, strict=True)) if k in (NORMAL, USER)}
         self.trie = DoubleArray(self.ids)
+        self.steps = [list(x) for x in (self.trie.base, self.trie.check, self.trie.value)]
         normal = [s for s, k in zip(pieces.scores, pieces.kinds, strict=True) if k == NORMAL]
         self.unknown_score = min(normal, default=0.0) - UNKNOWN_PENALTY
         best = max(normal, default=0.0)
@@ -206,20 +207,27 @@ class Codec:
         n = len(data)
         best, back = [-math.inf] * (n + 1), [(0, -1)] * (n + 1)
         best[0] = 0.0
-        scores, prefixes = self.scores, self.trie.prefixes
+        base, check, value, scores, unknown = *self.steps, self.scores, self.unknown_score
         for at in range(n):
             here = best[at]
             if here == -math.inf:
                 continue
-            width = 1 if data[at] < 0x80 else 2 if data[at] < 0xE0 else 3 if data[at] < 0xF0 else 4
-            single = False
-            for end, piece in prefixes(data, at):
-                score = here + scores[piece]
-                if score > best[end]:
-                    best[end], back[end] = score, (at, piece)
-                single = single or end - at == width
-            if not single and here + self.unknown_score > best[at + width]:
-                best[at + width], back[at + width] = here + self.unknown_score, (at, -1)
+            byte = data[at]
+            single = at + (1 if byte < 0x80 else 2 if byte < 0xE0 else 3 if byte < 0xF0 else 4)
+            state, end, known = 0, at, False
+            while end < n:  # the walk of DoubleArray.prefixes, shortest piece first
+                t = base[state] + data[end] + 1
+                if check[t] != state or not t:
+                    break
+                state, end, piece = t, end + 1, value[t]
+                if piece >= 0:
+                    score = here + scores[piece]
+                    if score > best[end]:
+                        best[end], back[end] = score, (at, piece)
+                    if end == single:
+                        known = True
+            if not known and here + unknown > best[single]:
+                best[single], back[single] = here + unknown, (at, -1)
         out, at = [], n
         while at:
             start, piece = back[at]
