@@ -2,9 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from sievelog.llm import language_id, secret_scan, toxicity
-from sievelog.llm.common import held_out, table
+from sievelog.llm import chat_format, language_id, secret_scan, sentencepiece_codec, toxicity
+from sievelog.llm.common import held_out, materialise, table
 from sievelog.llm.exact_dedup import exact_duplicates
+from sievelog.llm.minhash_dedup import near_duplicates
 from sievelog.llm.mixing import mix_sources
 from sievelog.llm.quality_rules import quality_rules
 
@@ -63,6 +64,13 @@ n AS (SELECT doc_id, shuffle, count(*) AS copies FROM m WHERE upto <= 1.5 * (SEL
 SELECT q.doc_id, size, source_size, coalesce(target, 0) AS target, (coalesce(copies, 0) * size)::BIGINT AS taken
 FROM q LEFT JOIN n ON q.shuffle = n.shuffle AND q.doc_id IS NOT DISTINCT FROM n.doc_id"""
 
+# ---- pieces -----------------------------------------------------------------------
+
+
+def op3_sentencepiece(spark, sf):
+    return sentencepiece_codec.encode_documents(table(spark, sf, "documents"), sentencepiece_codec.load_model(spark))
+
+
 # ---- exact duplicates -------------------------------------------------------------
 
 
@@ -77,6 +85,25 @@ WITH t AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\
 SELECT doc_id, min(doc_id) OVER (PARTITION BY s) AS keep_id, count(*) OVER (PARTITION BY s) AS group_size,
        doc_id = min(doc_id) OVER (PARTITION BY s) AS kept, s AS text_sha256 FROM t"""
 
+# ---- chat windows -----------------------------------------------------------------
+
+CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
+
+
+def op6_chat_format(spark, sf):
+    extra = [F.struct(F.lit(-1).alias("conv_id"), F.lit(n).alias("turn"), F.lit(r).alias("role"), F.lit(CONTROL_TEXT).alias("text")) for n, r in enumerate(("user", "assistant"))]
+    rows = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    rows = rows.unionByName(spark.range(1).select(F.inline(F.array(*extra))))
+    return chat_format.read_back(materialise(chat_format.chat_windows(rows), "chat-windows"))
+
+
+# ---- near duplicates --------------------------------------------------------------
+
+
+def op8_minhash_dedup(spark, sf):
+    return near_duplicates(table(spark, sf, "documents")).select("doc_id", "class_id", "class_size", "n_links", "kept")
+
+
 # ---- secrets ----------------------------------------------------------------------
 
 
@@ -161,6 +188,9 @@ FROM f JOIN o ON f.source IS NOT DISTINCT FROM o.source"""
 QUERIES = {
     "op1_language_id": (op1_language_id, None),
     "op4_toxicity": (op4_toxicity, None),
+    "op6_chat_format": (op6_chat_format, None),
+    "op8_minhash_dedup": (op8_minhash_dedup, None),
+    "op3_sentencepiece": (op3_sentencepiece, None),
     "op2_mix_sources": (op2_mix_sources, OP2_SQL),
     "op5_exact_dedup": (op5_exact_dedup, OP5_SQL),
     "op9_secret_scan": (op9_secret_scan, _op9_sql()),
