@@ -7,6 +7,7 @@ from sievelog.llm.common import held_out, materialise, table
 from sievelog.llm.exact_dedup import exact_duplicates
 from sievelog.llm.minhash_dedup import near_duplicates
 from sievelog.llm.mixing import mix_sources
+from sievelog.llm.passage_dedup import remove_repeats
 from sievelog.llm.quality_rules import quality_rules
 
 # ---- language ---------------------------------------------------------------------
@@ -97,6 +98,13 @@ def op6_chat_format(spark, sf):
     return chat_format.read_back(materialise(chat_format.chat_windows(rows), "chat-windows"))
 
 
+# ---- repeated passages ------------------------------------------------------------
+
+
+def op7_suffix_dedup(spark, sf):
+    return remove_repeats(table(spark, sf, "documents"), keep_text=False).drop("kept")
+
+
 # ---- near duplicates --------------------------------------------------------------
 
 
@@ -187,12 +195,13 @@ FROM f JOIN o ON f.source IS NOT DISTINCT FROM o.source"""
 
 QUERIES = {
     "op1_language_id": (op1_language_id, None),
+    "op2_mix_sources": (op2_mix_sources, OP2_SQL),
+    "op3_sentencepiece": (op3_sentencepiece, None),
     "op4_toxicity": (op4_toxicity, None),
+    "op5_exact_dedup": (op5_exact_dedup, OP5_SQL),
     "op6_chat_format": (op6_chat_format, None),
+    "op7_suffix_dedup": (op7_suffix_dedup, None),
     "op8_minhash_dedup": (op8_minhash_dedup, None),
-    "op3_sentencepiece": (op3_sentencepiece, None),
-    "op2_mix_sources": (op2_mix_sources, OP2_SQL),
-    "op5_exact_dedup": (op5_exact_dedup, OP5_SQL),
     "op9_secret_scan": (op9_secret_scan, _op9_sql()),
     "op10_quality_rules": (op10_quality_rules, OP10_SQL),
 }
