@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -388,6 +389,177 @@ def stream_alerts(spark, sf):
     return alerts.select("start_ms", "end_ms", "errors", F.round("z", 6).alias("z"))
 
 
+# ---- tables that grow -----------------------------------------------------------
+
+
+def csv_ingest_twice(spark, sf):
+    """Two halves of the events, one call each, no batch named."""
+    table = sl.scratch_path(spark, "twice")
+    for half in (0, 1):
+        path = sl.scratch_path(spark, "half")
+        sl.write_csv(events(spark, sf).where(F.col("log_id") % 2 == half), path)
+        ingest_csv(spark, path, table)
+    return sl.open_logs(spark, table).select("batch_id", *COLS)
+
+
+def stream_into_existing(spark, sf):
+    """One half is there already, a stream brings the other, and a second stream the first again."""
+    table = sl.scratch_path(spark, "joined")
+    sl.append_logs(spark, table, events(spark, sf).where("log_id % 2 = 0"))
+    for half in (1, 0):
+        source = sl.scratch_path(spark, "arriving")
+        sl.write_csv(events(spark, sf).where(F.col("log_id") % 2 == half), source)
+        streaming.start_ingest(
+            streaming.stream_logs_csv(spark, source), table, sl.scratch_path(spark, "state"), **AVAILABLE
+        ).awaitTermination()
+    return sl.open_logs(spark, table).select("log_id", "level", "service", "message")
+
+
+def compact_keeps_rejects(spark, sf):
+    table, target = sl.scratch_path(spark, "raw"), sl.scratch_path(spark, "compacted")
+    ingest_csv(spark, _messy_csv(spark, sf), table)
+    stones = sl.scratch_path(spark, "stones")
+    sl.add_tombstones(_ids_to_delete(spark, sf), stones, 0)
+    sl.compact(spark, table, sl.open_tombstones(spark, stones), target)
+    rows = sl.open_logs(spark, target).select(F.lit("row").alias("kind"), F.col("log_id").cast("string").alias("id_text"))
+    rejects = sl.open_rejects(spark, target)
+    return rows.unionByName(rejects.select(F.lit("reject").alias("kind"), F.substring_index("raw", ",", 1).alias("id_text")))
+
+
+def csv_long_lines(spark, sf):
+    """Every event with 50,000 commas, in quotes, in the message or after it."""
+    path = sl.scratch_path(spark, "long")
+    n, commas = F.col("log_id"), F.repeat(F.lit(","), F.lit(50_000))
+    head = F.concat_ws(",", n.cast("string"), "timestamp", "level", "service")
+    line = (
+        F.when(n % 3 == 0, F.concat(head, F.lit(',"a'), commas, F.lit('"')))
+        .when(n % 3 == 1, F.concat(head, F.lit(",b"), commas))
+        .otherwise(F.concat(head, F.lit(',"c ""q"""'), commas, F.lit('"x"')))
+    )
+    events(spark, sf).where("log_id % 20 = 0").select(line.alias("value")).write.text(path)
+    logs, _ = sl.read_logs_csv(spark, path)
+    return logs.select("log_id", F.length("message").alias("chars"), F.left("message", F.lit(5)).alias("begin"))
+
+
+def _in_two_batches(spark, sf, index_fields=True):
+    """A clustered table and its postings, the events of odd id appended, and stones for the first batch."""
+    logs = events(spark, sf)
+    raw, path, words = (sl.scratch_path(spark, n) for n in ("raw", "clustered", "postings"))
+    for batch in (0, 1):
+        stored = sl.append_logs(spark, raw, logs.where(F.col("log_id") % 2 == batch))
+        sl.append_clustered(stored, path, batch)
+        sl.append_postings(stored, words, batch, index_fields)
+    stones = sl.scratch_path(spark, "stones")
+    sl.add_tombstones(_ids_to_delete(spark, sf), stones, 0)
+    return path, words, sl.open_tombstones(spark, stones)
+
+
+def append_clustered(spark, sf):
+    path, _, stones = _in_two_batches(spark, sf)
+    target = sl.scratch_path(spark, "gathered")
+    sl.compact_clustered(sl.open_clustered(spark, path, stones, with_batch=True), target)
+    return sl.open_clustered(spark, target).select(F.col("log_date").cast("string").alias("day"), "log_id", "level", "service", "message")
+
+
+def append_postings(spark, sf):
+    _, words, stones = _in_two_batches(spark, sf)
+    return sl.open_postings(spark, words, stones).select("token", "log_id", "level", "service")
+
+
+def compact_postings(spark, sf):
+    _, words, stones = _in_two_batches(spark, sf, index_fields=False)
+    target = sl.scratch_path(spark, "postings")
+    sl.compact_postings(spark, words, stones, target)
+    return sl.open_postings(spark, target).select("token", "log_id", "level", "service")
+
+
+def stored_dictionary(spark, sf):
+    _, words, _ = _in_two_batches(spark, sf)
+    table = sl.scratch_path(spark, "dictionary")
+    for batch in (0, 1):
+        rows = sl.open_posting_batches(spark, words).where(F.col("batch_id") == batch)
+        sl.append_dictionary(rows, table, batch)
+    return sl.open_dictionary(spark, table).select("token", "df")
+
+
+def search_indexed_after_delete(spark, sf):
+    """For postings with and without level and service."""
+    found = []
+    for fields in (True, False):
+        path, words, stones = _in_two_batches(spark, sf, fields)
+        rows = sl.search_indexed(
+            sl.open_clustered(spark, path, stones), sl.open_postings(spark, words, stones), keyword="error", level="ERROR"
+        )
+        found.append(rows.select(F.lit(fields).alias("fields"), "log_id", "level", "service", "message"))
+    return found[0].unionByName(found[1])
+
+
+def batch_search_plans(spark, sf):
+    """Null levels and services and repeated queries, on every plan."""
+    logs = events(spark, sf)
+    n = F.col("log_id")
+    logs = sl.materialise(
+        logs.withColumns({"level": F.when(n % 7 != 0, F.col("level")), "service": F.when(n % 11 != 0, F.col("service"))}), "nulls"
+    )
+    queries = _event_queries(spark, sf)
+    queries = queries.unionByName(queries)
+    plans = {
+        "broadcast": {},
+        "shuffle": {"broadcast_rows": 0},
+        "postings": {"postings": indexed(spark, logs)},
+        "words": {"postings": indexed(spark, logs, index_fields=False)},
+    }
+    found = [
+        sl.batch_search(logs, queries, **how).select(F.lit(name).alias("plan"), "query_id", "log_id", "epoch_ms")
+        for name, how in plans.items()
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
+def zoned_times(spark, sf):
+    """Wall clocks of New York read, filled in and searched, in a session of another zone."""
+    zone, session = "America/New_York", spark.conf.get("spark.sql.session.timeZone")
+    raw = events(spark, sf).where("log_id % 2 = 0").select("log_id", "timestamp", "level", "service", "message")
+    raw = raw.withColumn("timestamp", F.when(F.col("log_id") % 4 != 0, F.col("timestamp")))
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        table = sl.scratch_path(spark, "zoned")
+        stored = sl.append_logs(spark, table, raw, now=F.timestamp_millis(F.lit(BASE_MS)), zone=zone)
+        return sl.materialise(
+            sl.search_time_text(stored, "2024-01-01 00:00:00", "2024-01-20 12:00:00", zone=zone).unionByName(
+                stored.where(F.col("epoch_ms") == BASE_MS)
+            ).select("log_id", "timestamp", "epoch_ms"),
+            "zoned",
+        )
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", session)
+
+
+# ---- searches whose rows share ids and times ------------------------------------
+
+
+def _twins(spark, sf) -> DataFrame:
+    """Each event and, for every third, a twin of the same id: earlier, of the same time or later."""
+    logs = events(spark, sf)
+    moved = F.col("epoch_ms") + (F.col("log_id") % 9 / 3 - 1).cast("bigint") * 1000
+    twins = logs.where("log_id % 3 = 0").withColumns({"epoch_ms": moved, "message": F.concat(F.lit("user_ twin "), "message")})
+    return logs.unionByName(twins)
+
+
+def dedupe_twins(spark, sf):
+    return shown(sl.search_prefix(_twins(spark, sf), "user_", unique_ids=False))
+
+
+def time_exact_ties(spark, sf):
+    """The events of the second in which the first one falls, all moved to its millisecond."""
+    logs = events(spark, sf).withColumn("epoch_ms", F.floor(F.col("epoch_ms") / 86_400_000) * 86_400_000)
+    return shown(sl.search_time_exact(logs, sl.time_extent(logs).first()["min_ms"]))
+
+
+def match_count_subset(spark, sf):
+    return sl.match_count(sl.matching(events(spark, sf), prefix="user_3", level="error"))
+
+
 # ---- SQL twins ------------------------------------------------------------------
 
 LE = """le AS (
@@ -473,6 +645,16 @@ BATCH_SQL = f"""WITH {LE}, {tokens('le')}, {EVENT_QUERIES},
   WHERE (start_ms IS NULL OR epoch_ms BETWEEN start_ms AND end_ms)
     AND (lvl IS NULL OR upper(level) = lvl) AND (svc IS NULL OR upper(service) = svc)"""
 
+NULLED = LE.replace("le AS (", "le0 AS (", 1) + """, le AS (
+  SELECT log_id, epoch_ms, CASE WHEN log_id % 7 <> 0 THEN level END AS level,
+         CASE WHEN log_id % 11 <> 0 THEN service END AS service, message, stamp FROM le0)"""
+PLANS_SQL = f"""SELECT plan, query_id, log_id, epoch_ms FROM ({BATCH_SQL.replace(LE, NULLED)}),
+  (SELECT unnest(['broadcast', 'shuffle', 'postings', 'words']) AS plan)"""
+TWINS = """tw AS (
+  SELECT log_id, epoch_ms, level, service, message FROM le UNION ALL
+  SELECT log_id, epoch_ms + trunc(log_id % 9 / 3 - 1)::BIGINT * 1000, level, service, 'user_ twin ' || message FROM le WHERE log_id % 3 = 0)"""
+LIVE = f"(log_id % 2 = 1 OR log_id NOT IN {TO_DELETE})"
+
 CSV_OUT = "log_id, stamp AS timestamp, true AS ts_valid, (epoch_ms // 1000) * 1000 AS epoch_ms, level, service, message"
 MESSY = f"""WITH {LE} SELECT log_id,
   CASE WHEN log_id % 10 = 4 THEN 'not-a-time' ELSE stamp END AS timestamp, log_id % 10 <> 4 AS ts_valid,
@@ -682,6 +864,74 @@ Q: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
           ON CASE WHEN item_id % 2 = 0 THEN t = w[-1] ELSE starts_with(t, w[1]) END
         WHERE item_id % 3 <> 0 OR level = 'ERROR'""",
     ),
+    "batch_search_plans": (batch_search_plans, PLANS_SQL),
+    "csv_ingest_twice": (
+        csv_ingest_twice,
+        from_le("true", "log_id % 2 AS batch_id, log_id, (epoch_ms // 1000) * 1000 AS epoch_ms, level, service, message"),
+    ),
+    "stream_into_existing": (
+        stream_into_existing,
+        f"WITH {LE}, n AS (SELECT unnest([0, 1, 0]) AS half) "
+        "SELECT log_id, level, service, message FROM le JOIN n ON log_id % 2 = half",
+    ),
+    "compact_keeps_rejects": (
+        compact_keeps_rejects,
+        f"""WITH {LE} SELECT 'row' AS kind, log_id::VARCHAR AS id_text FROM le
+        WHERE log_id % 10 NOT IN (1, 2) AND log_id NOT IN {TO_DELETE}
+        UNION ALL SELECT 'reject', CASE log_id % 10 WHEN 2 THEN 'x' ELSE '' END || log_id::VARCHAR FROM le WHERE log_id % 10 IN (1, 2)""",
+    ),
+    "csv_long_lines": (
+        csv_long_lines,
+        from_le(
+            "log_id % 20 = 0",
+            """log_id, CASE log_id % 3 WHEN 0 THEN 50001 WHEN 1 THEN 1 ELSE 5 END::INT AS chars,
+            CASE log_id % 3 WHEN 0 THEN 'a,,,,' WHEN 1 THEN 'b' ELSE 'c "q"' END AS begin""",
+        ),
+    ),
+    "append_clustered": (
+        append_clustered,
+        from_le(LIVE, "make_date((epoch_ms // 86400000)::INT)::VARCHAR AS day, log_id, level, service, message"),
+    ),
+    "append_postings": (
+        append_postings,
+        from_le(LIVE, "unnest(tokens) AS token, log_id, level, service", with_tokens=True),
+    ),
+    "compact_postings": (
+        compact_postings,
+        from_le(
+            LIVE,
+            "unnest(list_distinct(list_filter(regexp_split_to_array(lower(message), '\\W+'), lambda t: t <> ''))) AS token, log_id, level, service",
+        ),
+    ),
+    "stored_dictionary": (
+        stored_dictionary,
+        f"WITH {LE}, {tokens('le')}, p AS (SELECT unnest(tokens) AS token FROM le_t) SELECT token, count(*) AS df FROM p GROUP BY token",
+    ),
+    "search_indexed_after_delete": (
+        search_indexed_after_delete,
+        f"WITH {LE} SELECT fields, log_id, level, service, message FROM le, (SELECT unnest([true, false]) AS fields) "
+        f"WHERE level = 'ERROR' AND {LIVE}",
+    ),
+    "zoned_times": (
+        zoned_times,
+        f"""WITH {LE}, z AS (SELECT log_id, CASE WHEN log_id % 4 <> 0 THEN stamp ELSE '2023-12-31 19:00:00' END AS timestamp,
+          CASE WHEN log_id % 4 <> 0 THEN (epoch_ms // 1000) * 1000 + 18000000 ELSE {BASE_MS} END AS epoch_ms FROM le WHERE log_id % 2 = 0)
+        SELECT * FROM z WHERE epoch_ms BETWEEN 1704085200000 AND 1705770000000 UNION ALL SELECT * FROM z WHERE epoch_ms = {BASE_MS}""",
+    ),
+    "dedupe_twins": (
+        dedupe_twins,
+        f"""WITH {LE}, {TWINS}, r AS (SELECT *, row_number() OVER (PARTITION BY log_id ORDER BY epoch_ms, service, level, message) AS n FROM tw)
+        SELECT {OUT} FROM r WHERE n = 1""",
+    ),
+    "time_exact_ties": (
+        time_exact_ties,
+        f"""WITH {LE}, t AS (SELECT log_id, epoch_ms // 86400000 * 86400000 AS epoch_ms, level, service, message FROM le)
+        SELECT {OUT} FROM t WHERE epoch_ms = (SELECT min(epoch_ms) FROM t)""",
+    ),
+    "match_count_subset": (
+        match_count_subset,
+        from_le("level = 'ERROR' AND regexp_matches(message, '\\buser_3')", "count(*) AS matches"),
+    ),
     "csv_roundtrip": (csv_roundtrip, from_le("true", CSV_OUT)),
     "csv_messy": (csv_messy, MESSY),
     "csv_rejects": (

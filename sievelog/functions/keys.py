@@ -21,9 +21,11 @@ def shard_id(log_id: Column, shards: int = DEFAULT_SHARDS) -> Column:
 def row_key() -> Column:
     """Hash of the row's text fields; with id and time it tells rows of one id apart.
 
-    Two rows are mistaken for each other only if id, millisecond and 64-bit hash agree.
+    The hash skips nulls, so which fields are null is hashed too. Two rows are mistaken
+    for each other only if id, millisecond and 64-bit hash agree.
     """
-    return F.xxhash64("timestamp", "level", "service", "message")
+    fields = ("timestamp", "level", "service", "message")
+    return F.xxhash64(*fields, *[F.isnull(c) for c in fields])
 
 
 def stretch(rows: int) -> Column:

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import re
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -13,23 +14,37 @@ _FIRST_DAY = (dt.date.min - dt.date(1970, 1, 1)).days
 _LAST_DAY = (dt.date.max - dt.date(1970, 1, 1)).days
 
 
+def parse_epoch_or_null(text: Column, zone: str = "UTC") -> Column:
+    """Epoch milliseconds, NULL where the text is not ``yyyy-MM-dd HH:mm:ss``.
+
+    The text is read at offset zero and then placed in ``zone``: the zone of the session
+    has no say.
+    """
+    stamp = F.concat(strip_blank(text), F.lit(" +0000"))
+    parsed = F.try_to_timestamp(stamp, F.lit(f"{TIMESTAMP_PATTERN} xx"))
+    return F.unix_millis(parsed if zone == "UTC" else F.to_utc_timestamp(parsed, zone))
+
+
 def parse_timestamp(text: Column, zone: str = "UTC") -> Column:
-    """TIMESTAMP, NULL where the text is not ``yyyy-MM-dd HH:mm:ss`` (session zone UTC)."""
-    parsed = F.try_to_timestamp(strip_blank(text), F.lit(TIMESTAMP_PATTERN))
-    return parsed if zone == "UTC" else F.to_utc_timestamp(parsed, zone)
+    """:func:`parse_epoch_or_null` as TIMESTAMP."""
+    return F.timestamp_millis(parse_epoch_or_null(text, zone))
 
 
 def parse_epoch(text: Column, zone: str = "UTC") -> Column:
     """Epoch milliseconds, 0 where the text does not parse."""
-    return F.coalesce(F.unix_millis(parse_timestamp(text, zone)), F.lit(0).cast("bigint"))
+    return F.coalesce(parse_epoch_or_null(text, zone), F.lit(0).cast("bigint"))
 
 
 def format_epoch(epoch_ms: Column, zone: str = "UTC") -> Column:
-    """Epoch milliseconds as text; the milliseconds are dropped."""
-    ts = F.timestamp_millis(epoch_ms)
+    """Epoch milliseconds as text in ``zone``, whatever the session's; the milliseconds are dropped."""
+    local = epoch_ms
     if zone != "UTC":
-        ts = F.from_utc_timestamp(ts, zone)
-    return F.date_format(ts, TIMESTAMP_PATTERN)
+        local = F.unix_millis(F.from_utc_timestamp(F.timestamp_millis(epoch_ms), zone))
+    day = F.date_from_unix_date(F.floor(local / F.lit(DAY_MS)).cast("int"))
+    second = F.floor(F.pmod(local, F.lit(DAY_MS)) / F.lit(1000))
+    parts = (F.floor(second / 3600), F.floor(second / 60) % 60, second % 60)
+    clock = F.concat_ws(":", *[F.lpad(p.cast("string"), 2, "0") for p in parts])
+    return F.when(epoch_ms.isNotNull(), F.concat(day.cast("string"), F.lit(" "), clock))
 
 
 def log_date(epoch_ms: Column) -> Column:
@@ -50,8 +65,8 @@ def day_literal(day: str) -> Column:
     return F.lit(day).cast("date")
 
 
-def bound_ms(text: str | int | None) -> int | None:
-    """One user-given bound: a number, a timestamp text, or None if blank or unreadable."""
+def bound_ms(text: str | int | None, zone: str = "UTC") -> int | None:
+    """One user-given bound: a number, a timestamp text in ``zone``, or None if blank or unreadable."""
     if text is None or isinstance(text, int):
         return text
     text = text.strip()
@@ -63,16 +78,16 @@ def bound_ms(text: str | int | None) -> int | None:
     if not re.fullmatch(r"[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}", text):
         return None
     try:
-        parsed = dt.datetime.strptime(text, "%Y-%m-%d %H:%M:%S").replace(tzinfo=dt.timezone.utc)
+        parsed = dt.datetime.strptime(text, "%Y-%m-%d %H:%M:%S").replace(tzinfo=ZoneInfo(zone))
     except ValueError:
         return None
     # A parsed value of 0 counts as "could not parse", as it does for rows.
     return int(parsed.timestamp()) * 1000 or None
 
 
-def resolve_bounds(start, end, default_start=None, default_end=None):
+def resolve_bounds(start, end, default_start=None, default_end=None, zone: str = "UTC"):
     """Both bounds as milliseconds, falling back to the defaults, swapped if reversed."""
-    lo, hi = bound_ms(start), bound_ms(end)
+    lo, hi = bound_ms(start, zone), bound_ms(end, zone)
     lo = default_start if lo is None else lo
     hi = default_end if hi is None else hi
     if lo is not None and hi is not None and lo > hi:

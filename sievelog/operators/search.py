@@ -49,13 +49,17 @@ def text_condition(keyword=None, prefix=None, wildcard=None) -> Column | None:
 def first_per_id(logs: DataFrame) -> DataFrame:
     """One row per id: the smallest by time, service, level, message.
 
-    A minimum over a struct, so copies of one id collapse before the shuffle; a
-    ranking window would bring all of them into one task.
+    Ids are counted alone first, without a row's text. Only rows of ids met more than
+    once are compared, by a minimum over a struct: copies of one id collapse before the
+    shuffle, where a ranking window would bring all of them into one task.
     """
     order = ["epoch_ms", "service", "level", "message"]
     rest = [c for c in logs.columns if c not in order and c != "log_id"]
-    first = logs.groupBy("log_id").agg(F.min(F.struct(*order, *rest)).alias("_row"))
-    return first.select("log_id", "_row.*").select(*logs.columns)
+    again = logs.groupBy("log_id").agg(F.count("*").alias("_n")).where("_n > 1").select(F.col("log_id").alias("_again"))
+    met = logs.join(again, F.col("log_id").eqNullSafe(F.col("_again")), "left_semi")
+    first = met.groupBy("log_id").agg(F.min(F.struct(*order, *rest)).alias("_row"))
+    alone = logs.join(again, F.col("log_id").eqNullSafe(F.col("_again")), "left_anti")
+    return alone.unionByName(first.select("log_id", "_row.*").select(*logs.columns))
 
 
 def search_exact(logs: DataFrame, word: str) -> DataFrame:
@@ -80,9 +84,9 @@ def search_time_range(logs: DataFrame, start_ms: int, end_ms: int) -> DataFrame:
     return in_time_order(logs.where(time_between(logs, start_ms, end_ms)))
 
 
-def search_time_text(logs: DataFrame, start="", end="") -> DataFrame:
-    """Time range from user text: blank or unreadable bounds mean the table's own extent."""
-    lo, hi = bound_ms(start), bound_ms(end)
+def search_time_text(logs: DataFrame, start="", end="", zone: str = "UTC") -> DataFrame:
+    """Time range from user text in ``zone``: blank or unreadable bounds mean the table's own extent."""
+    lo, hi = bound_ms(start, zone), bound_ms(end, zone)
     if lo is None or hi is None:
         extent = time_extent(logs).first()
         lo, hi = resolve_bounds(lo, hi, extent["min_ms"] or 0, extent["max_ms"] or 0)
@@ -139,15 +143,15 @@ def compound(logs: DataFrame, **filters) -> DataFrame:
 
 
 def compound_text(
-    logs: DataFrame, text: str = "", level: str = "", service: str = "", start="", end="", **options
+    logs: DataFrame, text: str = "", level: str = "", service: str = "", start="", end="", zone: str = "UTC", **options
 ) -> DataFrame:
     """Compound search from user text.
 
     Text holding ``*`` is a wildcard, else a keyword; blank level or service mean
-    ``ALL``; a blank or unreadable time bound drops the time filter.
+    ``ALL``; a blank or unreadable time bound drops the time filter. Times are in ``zone``.
     """
     text = text.strip()
-    start_ms, end_ms = resolve_bounds(start, end)
+    start_ms, end_ms = resolve_bounds(start, end, zone=zone)
     if start_ms is None or end_ms is None:
         start_ms = end_ms = None
     return compound(

@@ -8,7 +8,7 @@ search filters first and moves only the matches.
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievelog.functions.keys import shard_id
+from sievelog.functions.keys import shard_id, stretch
 from sievelog.operators.search import in_time_order, matching
 from sievelog.schema import DEFAULT_SHARDS
 
@@ -18,8 +18,9 @@ def with_shard(logs: DataFrame, shards: int = DEFAULT_SHARDS) -> DataFrame:
 
 
 def write_sharded(logs: DataFrame, path: str, shards: int = DEFAULT_SHARDS) -> None:
-    """One folder per shard, written by every task, so a large shard is many files."""
-    with_shard(logs, shards).write.partitionBy("shard").parquet(path)
+    """One folder per shard; rebalancing gathers its rows and splits a large one by size."""
+    rows = with_shard(logs, shards).withColumn("_stretch", stretch(1 << 20))
+    rows.hint("rebalance", "shard", "_stretch").drop("_stretch").write.partitionBy("shard").parquet(path)
 
 
 def scatter_gather(

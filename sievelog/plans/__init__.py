@@ -1,8 +1,10 @@
 from sievelog.plans.batch_search import batch_search
 from sievelog.plans.postings import (
+    append_dictionary,
     append_postings,
     build_postings,
     compact_postings,
+    open_dictionary,
     open_posting_batches,
     open_postings,
     posting_hits,

@@ -22,7 +22,10 @@ from sievelog.functions.timestamps import log_date
 from sievelog.operators.analytics import time_extent
 from sievelog.operators.search import time_between
 from sievelog.plans.postings import (
+    HOUR_MS,
     build_postings,
+    field_postings,
+    has_fields,
     hit_days,
     on_days,
     token_dictionary,
@@ -34,12 +37,15 @@ from sievelog.session import materialise, measured
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
-# Lengths of the literal pieces that stand for a pattern in the dictionary join.
+# Lengths of the literal pieces that stand for a pattern in the dictionary join: heads,
+# tails, and pieces from inside.
 _EDGE = 8
 _GRAM = 3
+_PIECES = [f"{kind}{n}" for kind, most in (("h", _EDGE), ("t", _EDGE), ("g", _GRAM)) for n in range(1, most + 1)]
 # What keys other than tokens start with. Tokens are stripped of this character, so the
 # kinds never meet.
-_DAY, _SERVICE, _LEVEL, _ALWAYS = "\0d", "\0s", "\0l", "\0"
+_DAY, _HOUR, _SERVICE, _LEVEL, _ALWAYS = "\0d", "\0h", "\0s", "\0l", "\0"
+_SHORT_MS = 2 * DAY_MS
 
 # Queries without a text filter, or with one that any token satisfies.
 _PLAIN = "kind IN ('none', 'any')"
@@ -55,21 +61,20 @@ def batch_search(
 ) -> DataFrame:
     """``query_id`` plus the log columns, one row per query and matching log row.
 
-    Each query means the same as one call of ``matching``. ``logs`` must be a table read
-    from files, whose rows can be numbered the same way on a retry. ``postings`` (with
-    level and service indexed) and ``dictionary`` are used if given. ``broadcast_rows``
-    bounds the number of query keys that are broadcast.
+    Each query means the same as one call of ``matching``; query rows that repeat each
+    other count once. ``logs`` must be a table read from files, whose rows can be numbered
+    the same way on a retry. ``postings`` and ``dictionary`` are used if given; where they
+    leave out level and service, these are taken from the logs. ``broadcast_rows`` bounds
+    the number of all query keys that are broadcast, and decides on the plan alone.
     """
     # One row per id is chosen before the other filters, so they must not choose the keys.
     narrow = "true" if unique_ids else "NOT one_per_id"
     dated = f"start_ms IS NOT NULL AND {narrow}"
     plan, use = measured(
-        _normalise(queries),
+        _normalise(queries).distinct(),
         "batch-queries",
         keywords=_count("kind = 'keyword'"),
-        heads=_count("piece LIKE 'h%'"),
-        tails=_count("piece LIKE 't%'"),
-        grams=_count("piece LIKE 'g%'"),
+        **{p: _count(f"piece LIKE '{p[0]}%' AND char_length(piece) = {int(p[1:]) + 1}") for p in _PIECES},
         dated=_count(f"{_PLAIN} AND {dated}"),
         undated=_count(f"{_PLAIN} AND NOT ({dated})"),
         field_bytes=F.sum(_text_bytes("q_level", "q_service")),
@@ -81,40 +86,51 @@ def batch_search(
     )
     if use["half"]:
         raise ValueError("give both time bounds or none")
-    pieces = [kind for kind in ("heads", "tails", "grams") if use[kind]]
+    pieces = [p for p in _PIECES if use[p]]
 
     if unique_ids and use["open"] == 0 and use["lo"] is not None:
         logs = logs.where(time_between(logs, use["lo"], use["hi"]))
         if postings is not None:
             postings = postings.where(F.col("epoch_ms").between(use["lo"], use["hi"]))
+        if dictionary is not None and "max_epoch_ms" in dictionary.columns:
+            dictionary = dictionary.where((F.col("max_epoch_ms") >= use["lo"]) & (F.col("min_epoch_ms") <= use["hi"]))
+    if postings is not None and not has_fields(postings):
+        fields = field_postings(logs)
+        if dictionary is not None:
+            dictionary = dictionary.select("token").unionByName(fields.select("token")).distinct()
+        if "head" in postings.columns:
+            fields = fields.withColumn("head", token_head(F.col("token")))
+        postings = postings.unionByName(fields, allowMissingColumns=True)
 
     results = []
     keyed = {}
+    room = _Room(broadcast_rows, BROADCAST_BYTES)
     if use["keywords"] or pieces:
         resolved = _resolve(plan, pieces, logs, postings, dictionary)
         tokens, size = measured(resolved, "batch-tokens", **_size())
-        if postings is None and _fits(size, broadcast_rows):
-            keyed["tokens"], size_of_tokens = tokens, size["rows"]
+        if postings is None and room.take(size):
+            keyed["tokens"], size_of_tokens = tokens, size
         else:
             if postings is None:
                 postings = materialise(build_postings(logs), "batch-postings")
             results.append(_by_postings(logs, postings, tokens, unique_ids))
     plain = plan.where(_PLAIN)
     asked = {"rows": use["undated"], "bytes": use["field_bytes"]}
-    if use["undated"] and _fits(asked, broadcast_rows):
+    if use["undated"] and room.take(asked):
         keyed["fields"] = _field_keys(plain.where(f"NOT ({dated})"), narrow)
         plain = plain.where(dated)
         use["undated"] = 0
     if use["dated"] or use["undated"]:
         days, size = measured(_day_keys(plain, logs, dated), "batch-days", **_size())
-        if _fits(size, broadcast_rows):
+        if room.take(size):
             keyed["days"] = days
         else:
             results.append(_by_scan(logs, days, unique_ids, {"days"}, repeats=False))
     if keyed:
         if "tokens" in keyed:
-            days_each = (use["span"] or 0) // DAY_MS + 2
-            if unique_ids and use["open"] == 0 and size_of_tokens * days_each <= broadcast_rows:
+            days_each = int((use["span"] or 0) // DAY_MS + 2)
+            more = {k: (v or 0) * (days_each - 1) for k, v in size_of_tokens.items()}
+            if unique_ids and use["open"] == 0 and room.take(more):
                 keyed["tokens"] = _by_day(keyed["tokens"])
         if any("_day" not in keys.columns for keys in keyed.values()):
             keyed = {kind: keys.drop("_day") for kind, keys in keyed.items()}
@@ -199,18 +215,17 @@ def _resolve(plan, pieces, logs, postings, dictionary) -> DataFrame:
 
 
 def _pieces(token: Column, used: list[str]) -> Column:
-    """The heads, tails and short inner pieces of a token that patterns can ask for."""
-    sizes = F.sequence(F.lit(1), F.least(F.lit(_EDGE), F.char_length(token)))
-    kinds = []
-    if "heads" in used:
-        kinds.append(F.transform(sizes, lambda n: F.concat(F.lit("h"), F.left(token, n))))
-    if "tails" in used:
-        kinds.append(F.transform(sizes, lambda n: F.concat(F.lit("t"), F.right(token, n))))
-    if "grams" in used:
-        chars = F.filter(F.split(token, ""), lambda c: c != "")
-        grams = [_grams(chars, n) for n in range(1, _GRAM + 1)]
-        kinds.append(F.array_distinct(F.concat(*grams)))
-    return F.concat(*kinds)
+    """The heads, tails and inner pieces of a token, of the lengths that patterns ask for."""
+    chars = F.filter(F.split(token, ""), lambda c: c != "")
+    found = []
+    for kind, size in ((p[0], int(p[1:])) for p in used):
+        if kind == "g":
+            found.append(_grams(chars, size))
+            continue
+        edge = F.left(token, F.lit(size)) if kind == "h" else F.right(token, F.lit(size))
+        long = F.char_length(token) >= size
+        found.append(F.when(long, F.array(F.concat(F.lit(kind), edge))).otherwise(F.array().cast("array<string>")))
+    return F.array_distinct(F.concat(*found))
 
 
 def _grams(chars: Column, size: int) -> Column:
@@ -232,21 +247,35 @@ def _field_keys(plan: DataFrame, narrow: str) -> DataFrame:
 
 
 def _day_keys(plan: DataFrame, logs: DataFrame, dated: str) -> DataFrame:
-    """Queries without text, one row per day they cover within the table's extent."""
+    """Queries without text, one row per slot of time they cover within the table's extent.
+
+    A short span is covered by hours, a longer one by days. The key also holds the
+    service or else the level that is asked for, so a row meets few of its day's queries.
+    """
     extent = time_extent(logs).first()
     lo, hi = extent["min_ms"] or 0, extent["max_ms"] or 0
     start, end = (F.when(F.expr(dated), F.col(c)) for c in ("start_ms", "end_ms"))
     start = F.greatest(F.coalesce(start, F.lit(lo)), F.lit(lo))
     end = F.least(F.coalesce(end, F.lit(hi)), F.lit(hi))
-    spans = plan.withColumns({"_lo": start, "_hi": end})
+    spans = plan.withColumns({"_lo": start, "_hi": end}).where("_lo <= _hi")
+    short = F.col("_hi") - F.col("_lo") <= _SHORT_MS
+    first, last = (F.floor(F.col(c) / F.lit(HOUR_MS)).cast("bigint") for c in ("_lo", "_hi"))
+    hours = spans.where(short).select(*_QUERY, F.explode(F.sequence(first, last)).alias("_hour"))
+    hours = hours.select(*_QUERY, "_hour", log_date(F.col("_hour") * F.lit(HOUR_MS)).alias("_day"))
     days = F.explode(F.sequence(log_date(F.col("_lo")), log_date(F.col("_hi"))))
-    covered = spans.where("_lo <= _hi").select(*_QUERY, days.alias("_day"))
+    covered = spans.where(~short).select(*_QUERY, F.lit(None).cast("bigint").alias("_hour"), days.alias("_day"))
+    covered = covered.unionByName(hours)
     if (hi - lo) // DAY_MS > 3660:
         # A few stray times stretch the extent; keep only days that hold rows.
         covered = covered.join(
             logs.select(log_date(F.col("epoch_ms")).alias("_day")).distinct(), "_day", "left_semi"
         )
-    return covered.select(*_QUERY, _day_key(F.col("_day")).alias("key"), "_day")
+    narrow = F.expr("NOT one_per_id") if dated.endswith("NOT one_per_id") else F.lit(True)
+    field = F.when(narrow & F.col("q_service").isNotNull(), F.concat(F.lit(_SERVICE), "q_service")).when(
+        narrow & F.col("q_level").isNotNull(), F.concat(F.lit(_LEVEL), "q_level")
+    )
+    slot = F.coalesce(_hour_key(F.col("_hour")), _day_key(F.col("_day")))
+    return covered.select(*_QUERY, F.concat(slot, F.coalesce(field, F.lit(_ALWAYS))).alias("key"), "_day")
 
 
 def _by_day(keys: DataFrame) -> DataFrame:
@@ -259,6 +288,16 @@ def _day_key(day: Column) -> Column:
     return F.concat(F.lit(_DAY), day.cast("string"))
 
 
+def _hour_key(hour: Column) -> Column:
+    return F.concat(F.lit(_HOUR), hour.cast("string"))
+
+
+def _field_names() -> list[Column]:
+    """What the key of a query without text can say of a row's fields."""
+    service, level = F.concat(F.lit(_SERVICE), F.upper("service")), F.concat(F.lit(_LEVEL), F.upper("level"))
+    return [service, level, F.lit(_ALWAYS)]
+
+
 def _size() -> dict[str, Column]:
     return {"rows": F.count(F.lit(1)), "bytes": F.sum(_text_bytes("key", "q_level", "q_service"))}
 
@@ -267,9 +306,18 @@ def _text_bytes(*columns: str) -> Column:
     return F.octet_length(F.concat_ws("", *columns))
 
 
-def _fits(size: dict, limit: int) -> bool:
-    """Is a written key table small enough to broadcast, in rows and in bytes?"""
-    return size["rows"] <= limit and (size["bytes"] or 0) <= BROADCAST_BYTES
+class _Room:
+    """What may still be broadcast, in rows and in bytes, of all key tables together."""
+
+    def __init__(self, rows: int, size: int):
+        self.left = {"rows": rows, "bytes": size}
+
+    def take(self, size: dict) -> bool:
+        """Take the room of a counted table if there is enough."""
+        if any((size[k] or 0) > self.left[k] for k in self.left):
+            return False
+        self.left = {k: v - (size[k] or 0) for k, v in self.left.items()}
+        return True
 
 
 def _residual() -> Column:
@@ -289,13 +337,10 @@ def _by_scan(
     rows = logs.withColumn("_row", F.monotonically_increasing_id())
     own = []
     if "days" in kinds:
-        own.append(_day_key(log_date(F.col("epoch_ms"))))
+        slots = (_day_key(log_date(F.col("epoch_ms"))), _hour_key(F.floor(F.col("epoch_ms") / F.lit(HOUR_MS)).cast("bigint")))
+        own += [F.concat(slot, field) for slot in slots for field in _field_names()]
     if "fields" in kinds:
-        own += [
-            F.concat(F.lit(_SERVICE), F.upper("service")),
-            F.concat(F.lit(_LEVEL), F.upper("level")),
-            F.lit(_ALWAYS),
-        ]
+        own += _field_names()
     every = F.array(*own).cast("array<string>")
     if "tokens" in kinds:
         tokens = log_tokens(F.col("service"), F.col("level"), F.col("message"))
@@ -335,8 +380,10 @@ def _by_postings(logs, postings, tokens, unique_ids) -> DataFrame:
         logs = logs.where(on_days(hit_days(hits)))
     rows = logs.withColumn("row_key", row_key())
     # Size decides: a small written table of hits is broadcast, a large one shuffled.
-    picked = rows.join(hits, ["log_id", "epoch_ms", "row_key"]).select(*conditions, *columns)
-    return _finish(picked, columns, unique_ids)
+    picked = rows.join(hits, ["log_id", "epoch_ms", "row_key"])
+    if unique_ids:  # once more, on the row itself
+        picked = picked.where(_residual())
+    return _finish(picked.select(*conditions, *columns), columns, unique_ids)
 
 
 def _finish(picked: DataFrame, columns: list[str], unique_ids: bool) -> DataFrame:

@@ -1,6 +1,7 @@
 """Precomputed text tables: postings (token -> rows) and the token dictionary."""
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -8,10 +9,14 @@ from pyspark.sql import types as T
 
 from sievelog.functions.keys import row_key, stretch
 from sievelog.functions.text import field_token, log_tokens, message_words, same_text, token_matches
-from sievelog.functions.timestamps import day_literal, log_date
-from sievelog.operators.lifecycle import live_rows
+from sievelog.functions.timestamps import day_literal, day_of, log_date
 from sievelog.operators.search import matching
-from sievelog.session import materialise
+from sievelog.sources.batches import names, write_mark
+from sievelog.sources.tables import live_rows
+
+HOUR_MS = 3_600_000
+#: Hours that a search names one by one; hits in more hours are found by day.
+HOURS = 100
 
 POSTINGS_SCHEMA = T.StructType(
     [
@@ -32,6 +37,7 @@ def build_postings(logs: DataFrame, index_fields: bool = True) -> DataFrame:
     the token of a large share of all rows; searches then look at those columns.
     """
     if index_fields:
+        # Level and service make a few tokens of many rows: fine for small tables.
         tokens = log_tokens(F.col("service"), F.col("level"), F.col("message"))
     else:
         tokens = F.array_remove(F.array_distinct(message_words(F.col("message"))), "")
@@ -39,9 +45,35 @@ def build_postings(logs: DataFrame, index_fields: bool = True) -> DataFrame:
     # inside the explode: over a plain column Spark adds a filter on its size, and that
     # would split every message a second time.
     rows = logs.withColumn("row_key", row_key())
-    return rows.select(
+    found = rows.select(
         F.explode(tokens).alias("token"), "log_id", "row_key", "epoch_ms", "level", "service"
     )
+    return _tagged(found, index_fields)
+
+
+def field_postings(logs: DataFrame) -> DataFrame:
+    """The postings of level and service alone, which ``index_fields=False`` leaves out."""
+    fields = F.array_remove(F.array_distinct(F.array(*[field_token(F.col(c)) for c in ("level", "service")])), "")
+    rows = logs.withColumn("row_key", row_key())
+    return rows.select(F.explode(fields).alias("token"), "log_id", "row_key", "epoch_ms", "level", "service")
+
+
+def _tagged(postings: DataFrame, index_fields: bool) -> DataFrame:
+    """Note in the schema whether level and service are among the tokens."""
+    return postings.withMetadata("token", {_TAG: index_fields})
+
+
+def has_fields(postings: DataFrame, expected: bool | None = None) -> bool:
+    """Whether level and service are among the tokens; a wrong ``expected`` raises."""
+    known = postings.schema["token"].metadata.get(_TAG)
+    if known is None:
+        return True if expected is None else expected
+    if expected is not None and known != expected:
+        raise ValueError(f"the postings were built with index_fields={known}")
+    return known
+
+
+_TAG = "index_fields"
 
 
 def token_head(token: Column) -> Column:
@@ -58,37 +90,61 @@ def write_postings(postings: DataFrame, path: str, stretch_rows: int = 1 << 24)
     ``stretch_rows`` takes apart what one task alone adds to it. ``postings`` must be
     built from a stored table.
     """
-    keys = {"head": token_head(F.col("token")), "_stretch": stretch(stretch_rows)}
-    (
-        postings.withColumns(keys)
-        .hint("rebalance", *keys)
-        .sortWithinPartitions("head", "token", "epoch_ms")
-        .drop("_stretch")
-        .write.partitionBy("head")
-        .parquet(path)
-    )
+    _write(_in_folders(postings, stretch_rows), postings, path, 0, "errorifexists")
 
 
-def append_postings(batch: DataFrame, table: str, batch_id: int, index_fields: bool = True) -> None:
-    """Postings of one batch of stored logs, as a folder that a repeat overwrites."""
-    rows = build_postings(batch, index_fields).sortWithinPartitions("token", "epoch_ms")
-    rows.write.mode("overwrite").parquet(f"{table.rstrip('/')}/batch_id={batch_id}")
+def append_postings(
+    batch: DataFrame, table: str, batch_id: int, index_fields: bool = True, stretch_rows: int = 1 << 24
+) -> None:
+    """Postings of one batch of stored logs, in folders of their own that a repeat overwrites."""
+    rows = build_postings(batch, index_fields)
+    _write(_in_folders(rows, stretch_rows), rows, table, batch_id, "overwrite")
 
 
-def open_postings(spark: SparkSession, path: str) -> DataFrame:
-    schema = T.StructType([*POSTINGS_SCHEMA.fields, T.StructField("head", T.StringType())])
-    return spark.read.schema(schema).parquet(path)
+def _in_folders(postings: DataFrame, stretch_rows: int) -> DataFrame:
+    return postings.withColumns({"head": token_head(F.col("token")), "_stretch": stretch(stretch_rows)})
+
+
+def _write(keyed: DataFrame, postings: DataFrame, path: str, batch_id: int, mode: str) -> None:
+    spark, path = postings.sparkSession, path.rstrip("/")
+    fields = has_fields(postings)
+    if names(spark, path) and f"_{_TAG}-{fields}" not in names(spark, path):
+        raise ValueError(f"{path} was not built with index_fields={fields}")
+    rows = keyed.hint("rebalance", "head", "_stretch").sortWithinPartitions("head", "token", "epoch_ms")
+    rows = rows.select(*POSTINGS_SCHEMA.names, "head")
+    rows.write.mode(mode).partitionBy("head").parquet(f"{path}/batch_id={batch_id}")
+    write_mark(spark, path, f"_{_TAG}-{fields}")
+
+
+def open_postings(
+    spark: SparkSession, path: str, tombstones: DataFrame | None = None, with_batch: bool = False
+) -> DataFrame:
+    """Postings of all batches that ``tombstones`` leave, and ``head``, which prunes folders."""
+    more = [T.StructField("batch_id", T.LongType()), T.StructField("head", T.StringType())]
+    rows = spark.read.schema(T.StructType([*POSTINGS_SCHEMA.fields, *more])).parquet(path)
+    known = names(spark, path)
+    built = [f for f in (True, False) if f"_{_TAG}-{f}" in known]
+    rows = _tagged(rows, built[0]) if built else rows
+    rows = rows if tombstones is None else live_rows(rows, tombstones)
+    return rows if with_batch else rows.drop("batch_id")
 
 
 def open_posting_batches(spark: SparkSession, table: str) -> DataFrame:
-    schema = T.StructType([*POSTINGS_SCHEMA.fields, T.StructField("batch_id", T.LongType())])
-    return spark.read.schema(schema).parquet(table)
+    return open_postings(spark, table, with_batch=True)
 
 
-def compact_postings(spark: SparkSession, table: str, tombstones: DataFrame, target: str) -> None:
-    """Postings of all batches without the deleted rows, as one table in folders."""
-    live = live_rows(open_posting_batches(spark, table), tombstones).drop("batch_id")
-    write_postings(materialise(live, "live-postings"), target)
+def compact_postings(
+    spark: SparkSession, table: str, tombstones: DataFrame, target: str, stretch_rows: int = 1 << 24
+) -> None:
+    """Postings of all batches without the deleted rows, as one table in folders.
+
+    Stretches are numbered on the stored rows, before the join with the deletions, so the
+    rows move once and are written once. All become one batch, the highest.
+    """
+    rows = open_posting_batches(spark, table)
+    last = max((int(n.partition("=")[2]) for n in names(spark, table) if n.startswith("batch_id=")), default=0)
+    live = live_rows(_in_folders(rows, stretch_rows), tombstones)
+    _write(live, rows, target, last, "errorifexists")
 
 
 def token_dictionary(postings: DataFrame) -> DataFrame:
@@ -100,6 +156,23 @@ def token_dictionary(postings: DataFrame) -> DataFrame:
     )
 
 
+def append_dictionary(postings: DataFrame, table: str, batch_id: int) -> None:
+    """The dictionary of one batch of postings, as a folder that a repeat overwrites."""
+    rows = token_dictionary(postings).sortWithinPartitions("token")
+    rows.write.mode("overwrite").parquet(f"{table.rstrip('/')}/batch_id={batch_id}")
+
+
+def open_dictionary(spark: SparkSession, table: str) -> DataFrame:
+    """The dictionaries of all batches as one: counts add up, spans widen.
+
+    Rows deleted since are still counted; a token without rows costs a lookup, no answer.
+    """
+    fields = "token STRING, df BIGINT, min_epoch_ms BIGINT, max_epoch_ms BIGINT, batch_id BIGINT"
+    return spark.read.schema(fields).parquet(table).groupBy("token").agg(
+        F.sum("df").alias("df"), F.min("min_epoch_ms").alias("min_epoch_ms"), F.max("max_epoch_ms").alias("max_epoch_ms")
+    )
+
+
 def posting_hits(
     postings: DataFrame,
     keyword: str | None = None,
@@ -149,24 +222,28 @@ def _head_can_hold(start: str) -> Column:
 
 
 def search_indexed(
-    logs: DataFrame, postings: DataFrame, index_fields: bool = True, unique_ids: bool = True, **filters
+    logs: DataFrame, postings: DataFrame, index_fields: bool | None = None, unique_ids: bool = True, **filters
 ) -> DataFrame:
-    """Same rows as :func:`matching`, reading only the days that hold a hit.
+    """Same rows as :func:`matching`, reading only the hours that hold a hit.
 
     ``logs`` is the table partitioned by ``log_date``. The postings name the days (a
-    list no longer than the calendar the table covers), the partition filter on them is
-    static, and the row predicate decides on what is left: no join, no shuffle of rows.
+    list no longer than the calendar the table covers) and, where hits are rare, the
+    hours. Both filters are static: days select folders, hours row groups by their
+    statistics, and the row predicate decides on what is left: no join, no shuffle of
+    rows. Postings know whether level and service are in them; if not, those two columns
+    are scanned. A wrong ``index_fields`` raises.
     """
+    index_fields = has_fields(postings, index_fields)
     if "log_date" not in logs.columns:
         raise ValueError("logs must be the time-clustered table")
     text = {k: v for k, v in filters.items() if k in ("keyword", "prefix", "wildcard")}
     if any(text.values()):
         # One row per id is chosen before the other filters, so they must not narrow it.
         hits = _postings_of(postings, **(filters if unique_ids else text))
-        days = set(hit_days(hits))
         if not index_fields:
-            days.update(hit_days(logs.where(_field_matches(**text))))
-        logs = logs.where(on_days(days))
+            fields = matching(logs, **{k: v for k, v in filters.items() if k not in text}) if unique_ids else logs
+            hits = hits.select("epoch_ms").unionByName(fields.where(_field_matches(**text)).select("epoch_ms"))
+        logs = logs.where(near_hits(hits))
     return matching(logs, unique_ids=unique_ids, **filters)
 
 
@@ -176,6 +253,18 @@ def hit_days(hits: DataFrame) -> list[str]:
     return [r[0] for r in hits.select(day).distinct().collect()]
 
 
+def near_hits(hits: DataFrame) -> Column:
+    """Static filter on the days of some rows and, if these are few, on their hours."""
+    hour = F.floor(F.col("epoch_ms") / F.lit(HOUR_MS))
+    hours = [r[0] for r in hits.select(hour.alias("h")).distinct().limit(HOURS + 1).collect()]
+    if len(hours) > HOURS:
+        return on_days(hit_days(hits))
+    spans = [F.col("epoch_ms").between(int(h) * HOUR_MS, int(h) * HOUR_MS + HOUR_MS - 1) for h in sorted(hours)]
+    days = {int(h) // 24: day_of(int(h) * HOUR_MS) for h in hours}
+    on_day = F.col("log_date").isin(list(days.values())) if days else F.lit(False)
+    return on_day & reduce(lambda a, b: a | b, spans, F.lit(False))
+
+
 def on_days(days) -> Column:
     """Static partition filter for a list of days."""
     return F.col("log_date").isin([day_literal(d) for d in sorted(days)]) if days else F.lit(False)

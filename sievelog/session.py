@@ -1,7 +1,7 @@
 """Session settings every job relies on, and the shared folder for intermediate tables."""
 
-import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
@@ -15,22 +15,42 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder: on a
-    cluster the executors could not see it.
+    A session on one machine may go without that setting and then uses its warehouse
+    folder; a cluster must name a folder that all executors can reach.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    root = tempfile.mkdtemp(prefix="sievelog-")
-    spark.sparkContext.setCheckpointDir(root)
-    return root
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+
+
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Removes, at its end, the intermediate tables that were written inside it.
+
+    Results are lazy: write or collect what you need before the scope ends.
+    """
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        for path in _scopes.pop():
+            at = hadoop(path)
+            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark)}/sievelog/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/sievelog/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

@@ -1,6 +1,8 @@
 from sievelog.sources.csv_logs import ingest_csv, read_logs_csv, write_batch
 from sievelog.sources.sample import sample_logs, sample_rows
 from sievelog.sources.tables import (
+    append_clustered,
+    compact_clustered,
     open_clustered,
     open_logs,
     open_rejects,

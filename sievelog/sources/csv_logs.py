@@ -1,36 +1,25 @@
 """CSV log files: one parse, accepted rows and rejects told apart by a reason.
 
-Native CSV reading does the splitting and unquoting. Only lines whose column count is
-not five are looked at again, as whole text: too short is a reject, too long keeps its
-first five fields with commas inside quotes respected.
+Lines are read as text, so a line may have any length and any number of commas. A line
+without quotes is split at its commas; one with quotes is matched field by field, from the
+left, commas inside quotes being text. What stands after the fifth field is left out.
 """
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sievelog.functions.text import strip_blank
-from sievelog.functions.timestamps import parse_timestamp
+from sievelog.functions.timestamps import format_epoch, parse_epoch_or_null
 from sievelog.schema import DEFAULT_LEVEL, DEFAULT_SERVICE, LOG_COLUMNS
+from sievelog.sources.batches import claim, record_top
 
 CSV_FIELDS = ["LogID", "Timestamp", "Level", "Service", "Message"]
-_RAW = "_raw"
-CSV_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in [*CSV_FIELDS, _RAW]])
-_OPTIONS = {
-    "header": "false",
-    "escape": '"',
-    "mode": "PERMISSIVE",
-    "columnNameOfCorruptRecord": _RAW,
-    "ignoreLeadingWhiteSpace": "true",
-    "ignoreTrailingWhiteSpace": "true",
-    # A pruned read cannot see that a line has too few or too many columns.
-    "columnPruning": "false",
-}
 REJECT_COLUMNS = ["file", "raw", "reason"]
 
-# Fixed value: a comma followed by an even number of quotes separates fields. Possessive,
-# so that a line of thousands of quotes does not exhaust the stack.
-_SEPARATOR = ',(?=(?:[^"]*+"[^"]*+")*+[^"]*+$)'
+# Text up to a comma outside quotes; an unclosed quote runs to the end of the line.
+# Possessive throughout: each character is looked at once, without recursion.
+_FIELD = r'([^",]*+(?:"[^"]*+"[^",]*+)*+(?:"[^"]*+\z)?+)'
+_LINE = r"(?s)\A" + ",".join([_FIELD] * 5) + r"(?:,.*+)?+\z"
 
 
 def _unquote(text: Column) -> Column:
@@ -39,42 +28,37 @@ def _unquote(text: Column) -> Column:
 
 
 def parse_csv(raw: DataFrame, zone: str = "UTC", on_bad_ts: str = "keep", defaults: bool = False):
-    """Log columns plus ``file``, ``raw``, ``reason`` for a raw read, batch or stream.
+    """Log columns plus ``file``, ``raw``, ``reason`` for lines of text, batch or stream.
 
     ``reason`` is NULL for accepted rows. With ``defaults`` a blank id is accepted as
     NULL and blank level, service and timestamp are filled in, as for single records.
     """
     if on_bad_ts not in ("keep", "reject"):
         raise ValueError("on_bad_ts must be 'keep' or 'reject'")
-    first = strip_blank(F.coalesce("LogID", F.lit("")))
-    text = F.lower(F.coalesce(F.col(_RAW), F.concat_ws(",", *CSV_FIELDS)))
+    line = F.regexp_replace("value", "\\A\ufeff", "")
+    quoted = F.contains(line, F.lit('"'))
+    fields = F.array(*[F.regexp_extract(line, _LINE, i + 1) for i in range(len(CSV_FIELDS))])
+    # Six pieces at most: the sixth only says that there is more.
+    parts = F.when(quoted & line.rlike(_LINE), fields).when(~quoted, F.split(line, ",", 6))
+    cut = raw.where(strip_blank(F.col("value")) != "").select(
+        F.col("_metadata.file_path").alias("file"), line.alias("_raw"), F.coalesce(parts, F.array(line)).alias("_parts")
+    )
+    first = _unquote(F.get("_parts", F.lit(0)))
+    text = F.lower("_raw")
     is_header = first.try_cast("bigint").isNull() & (
         F.contains(text, F.lit("logid")) | F.contains(text, F.lit("timestamp"))
     )
     if defaults:
-        is_header = is_header & (first != "")
-    # Six pieces at most: the sixth only says that there is more.
-    parts = F.when(
-        F.contains(F.col(_RAW), F.lit('"')), F.split(_RAW, _SEPARATOR, 6)
-    ).otherwise(F.split(_RAW, ",", 6))
-    fields = [
-        F.coalesce(
-            F.when(F.size("_parts") >= 5, _unquote(F.get("_parts", F.lit(i)))),
-            F.col(name),
-            F.lit(""),
-        ).alias(name)
-        for i, name in enumerate(CSV_FIELDS)
-    ]
-    df = raw.where(~is_header)
-    df = df.select("*", F.col("_metadata.file_path").alias("file"), parts.alias("_parts"))
-    df = df.select("file", _RAW, F.size("_parts").alias("_width"), *fields)
+        is_header = is_header & (strip_blank(first) != "")
+    named = [F.coalesce(_unquote(F.get("_parts", F.lit(i))), F.lit("")).alias(n) for i, n in enumerate(CSV_FIELDS)]
+    df = cut.where(~is_header).select("file", "_raw", F.size("_parts").alias("_width"), *named)
 
     log_id = strip_blank(F.col("LogID")).try_cast("bigint")
     bad_id = log_id.isNull()
     level, service, stamp = (strip_blank(F.col(c)) for c in ("Level", "Service", "Timestamp"))
     if defaults:
         bad_id = bad_id & (strip_blank(F.col("LogID")) != "")
-        level, service, stamp = fill_defaults(level, service, stamp)
+        level, service, stamp = fill_defaults(level, service, stamp, zone=zone)
     df = df.select(
         log_id.alias("log_id"),
         stamp.alias("timestamp"),
@@ -82,7 +66,7 @@ def parse_csv(raw: DataFrame, zone: str = "UTC", on_bad_ts: str = "keep", defaul
         service.alias("service"),
         F.col("Message").alias("message"),
         "file",
-        F.coalesce(F.col(_RAW), F.concat_ws(",", *CSV_FIELDS)).alias("raw"),
+        F.col("_raw").alias("raw"),
         F.when((F.col("_width") < 5), "too_few_columns").when(bad_id, "bad_id").alias("reason"),
     )
     df = with_times(df, zone)
@@ -97,37 +81,38 @@ def parse_csv(raw: DataFrame, zone: str = "UTC", on_bad_ts: str = "keep", defaul
     )
 
 
-def fill_defaults(level: Column, service: Column, timestamp: Column, now: Column | None = None):
-    """Blank level, service and timestamp replaced by what a new record gets."""
+def fill_defaults(
+    level: Column, service: Column, timestamp: Column, now: Column | None = None, zone: str = "UTC"
+):
+    """Blank level, service and timestamp replaced by what a new record gets; "now" is told in ``zone``."""
     now = F.current_timestamp() if now is None else now
-    stamp = F.date_format(now, "yyyy-MM-dd HH:mm:ss")
     return (
         F.upper(F.coalesce(F.nullif(level, F.lit("")), F.lit(DEFAULT_LEVEL))),
         F.coalesce(F.nullif(service, F.lit("")), F.lit(DEFAULT_SERVICE)),
-        F.coalesce(F.nullif(timestamp, F.lit("")), stamp),
+        F.coalesce(F.nullif(timestamp, F.lit("")), format_epoch(F.unix_millis(now), zone)),
     )
 
 
 def with_times(df: DataFrame, zone: str = "UTC") -> DataFrame:
     """Add ``epoch_ms``, ``ts`` and ``ts_valid`` derived from ``timestamp``."""
     return (
-        df.withColumn("_ts", parse_timestamp(F.col("timestamp"), zone))
-        .withColumn("ts_valid", F.col("_ts").isNotNull())
-        .withColumn("epoch_ms", F.coalesce(F.unix_millis("_ts"), F.lit(0).cast("bigint")))
+        df.withColumn("_ms", parse_epoch_or_null(F.col("timestamp"), zone))
+        .withColumn("ts_valid", F.col("_ms").isNotNull())
+        .withColumn("epoch_ms", F.coalesce("_ms", F.lit(0).cast("bigint")))
         .withColumn("ts", F.timestamp_millis("epoch_ms"))
-        .drop("_ts")
+        .drop("_ms")
     )
 
 
 def read_csv_raw(spark: SparkSession, paths) -> DataFrame:
-    return spark.read.schema(CSV_SCHEMA).options(**_OPTIONS).csv(paths)
+    return spark.read.text(paths)
 
 
 def stream_csv_raw(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(CSV_SCHEMA).options(**_OPTIONS)
+    reader = spark.readStream
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.csv(path)
+    return reader.text(path)
 
 
 def read_logs_csv(spark: SparkSession, paths, zone: str = "UTC", on_bad_ts: str = "keep"):
@@ -143,29 +128,39 @@ def read_logs_csv(spark: SparkSession, paths, zone: str = "UTC", on_bad_ts: str
 
 
 def ingest_csv(
-    spark: SparkSession, paths, table: str, batch_id: int = 0, zone: str = "UTC", on_bad_ts: str = "keep"
+    spark: SparkSession,
+    paths,
+    table: str,
+    batch_id: int | None = None,
+    zone: str = "UTC",
+    on_bad_ts: str = "keep",
 ) -> dict:
     """Read the files once into ``table`` and return the row counts of that pass.
 
-    Accepted rows and rejects go into one write. Running a batch again replaces it.
+    Accepted rows and rejects go into one write, as the next free batch. ``batch_id``
+    names a batch to run again: it is replaced if it came from the same paths, and
+    anything else raises.
     """
+    source = "csv " + (paths if isinstance(paths, str) else " ".join(paths))
     parsed = parse_csv(read_csv_raw(spark, paths), zone, on_bad_ts)
-    seen = Observation("ingest")
-    ok = F.col("reason").isNull()
-    parsed = parsed.observe(
-        seen,
-        F.count_if(ok).alias("accepted"),
-        F.count_if(~ok).alias("rejected"),
-        F.count_if(ok & ~F.col("ts_valid")).alias("bad_timestamps"),
-    )
-    write_batch(parsed, table, batch_id)
-    return seen.get
+    return write_batch(parsed, table, claim(spark, table, source, batch_id))
 
 
-def write_batch(parsed: DataFrame, table: str, batch_id: int) -> None:
-    """One batch as a folder of its own, overwritten if the batch is run again.
+def write_batch(parsed: DataFrame, table: str, batch_id: int) -> dict:
+    """One claimed batch as a folder of its own, overwritten if the batch is run again.
 
-    Rejects are told apart by a column, not a folder, which would sort every row.
+    Rejects are told apart by a column, not a folder, which would sort every row. Returns
+    the counts of the pass and notes the highest id.
     """
-    rows = parsed.withColumn("rejected", F.col("reason").isNotNull())
+    spark, seen, ok = parsed.sparkSession, Observation(), F.col("reason").isNull()
+    rows = parsed.observe(
+        seen,
+        F.count_if(ok).alias("accepted"),
+        F.count_if(~ok).alias("rejected"),
+        F.count_if(ok & ~F.col("ts_valid")).alias("bad_timestamps"),
+        F.max(F.when(ok, F.col("log_id"))).alias("top"),
+    ).withColumn("rejected", F.col("reason").isNotNull())
     rows.write.mode("overwrite").parquet(f"{table.rstrip('/')}/batch_id={batch_id}")
+    counts = dict(seen.get)
+    record_top(spark, table, batch_id, counts.pop("top"))
+    return counts

@@ -1,12 +1,11 @@
 """CSV files arriving in a folder, cleaned and stored batch by batch."""
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from sievelog.operators.lifecycle import with_ids
+from sievelog.operators.lifecycle import with_free_ids
+from sievelog.sources.batches import stream_batch, stream_id
 from sievelog.sources.csv_logs import parse_csv, stream_csv_raw, write_batch
-from sievelog.sources.tables import open_logs
 
 
 def stream_logs_csv(
@@ -26,17 +25,20 @@ def start_ingest(
 ) -> StreamingQuery:
     """Store each micro-batch in a folder of its own, rows and rejects in one write.
 
-    A repeated micro-batch overwrites its folder, so a restart neither loses nor
-    doubles rows. ``assign_ids`` numbers accepted rows that came without an id.
+    The folder's number combines the stream, known by the id in its checkpoint, and the
+    micro-batch: a repeat overwrites its own folder, and neither another stream nor a
+    new checkpoint nor a single ingest can meet it. ``assign_ids`` numbers accepted rows
+    that came without an id.
     """
+    spark, known = parsed.sparkSession, []
 
-    def store(batch: DataFrame, batch_id: int) -> None:
+    def store(batch: DataFrame, micro_batch: int) -> None:
+        if not known:
+            known.append(stream_batch(spark, table, stream_id(spark, checkpoint), 0))
+        batch_id = known[0] + micro_batch
         if assign_ids:
-            spark = batch.sparkSession
-            earlier = open_logs(spark, table).where(F.col("batch_id") < batch_id) if batch_id else None
-            numbered = with_ids(batch, earlier)
-            keep = F.when(F.col("reason").isNull(), F.col("log_id"))
-            batch = numbered.withColumn("log_id", keep)
+            accepted, rejected = batch.where("reason IS NULL"), batch.where("reason IS NOT NULL")
+            batch = with_free_ids(spark, accepted, table, batch_id).unionByName(rejected)
         write_batch(batch, table, batch_id)
 
     writer = parsed.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)

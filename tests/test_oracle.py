@@ -11,7 +11,7 @@ def con():
     return oracle.connect(SF)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(entry.oracle_sql()))
 def test_query_equals_its_sql(spark, con, name):
     df = entry.queries()[name](spark, SF)
     assert oracle.compare(df, con, entry.oracle_sql()[name]) is None
