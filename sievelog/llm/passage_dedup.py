@@ -35,7 +35,7 @@ SHIFTS, AROUND = LENGTH - GRAM, 2 * LENGTH - GRAM
 #: Contexts of an anchor, in one batch or at its owner, above which it is compared by string.
 HOT_BATCH, HOT = 32, 2_000
 #: Bytes of text per chunk, per owner of anchors and per owner of documents.
-CHUNK, ANCHOR_BYTES, DOCUMENT_BYTES = 1_000_000, 32_000_000, 16_000_000
+CHUNK, ANCHOR_BYTES, DOCUMENT_BYTES = 500_000, 12_000_000, 6_000_000
 
 _U = np.uint64
 _SEPARATOR = mix(np.array([1 << 40], _U))[0]
