@@ -37,7 +37,7 @@ STEMS = (4, 6)
 #: A feature must stand in this share of the sampled documents, and in three of them.
 LEAST_SHARE = 0.0015
 RIDGE = 4.0
-FAIRNESS = 20.0
+FAIRNESS = 50.0
 STEPS = 120
 #: Times a toxic document counts in the fit.
 TOXIC_WEIGHT = 6.0
