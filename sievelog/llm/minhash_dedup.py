@@ -7,9 +7,11 @@ sets agree in a component with probability equal to their probability Jaccard si
 which for equal weights is the Jaccard similarity.
 
 Texts with the same set become one node. Nodes that agree in all components of a band
-share a bucket; a bucket does not pair its members with each other but each with the two
-ends of the bucket, so hot buckets cost their size. Pairs are verified on the sets: first
-one pair per node, then those that would still join two components.
+share a bucket. A bucket first pairs each member with its two ends only, so hot buckets
+cost their size; the pairs are verified on the sets, one per node, and linked nodes form
+components. Members of the largest component of a bucket need no pairs among each other:
+only the members outside it are then paired with the rest, and in a bucket with many such
+members only with those that share a second band.
 """
 
 from collections.abc import Iterator
@@ -26,6 +28,8 @@ WORDS = 5
 SIMILARITY = 0.8
 #: 24 bands of 5 components miss a pair of similarity 0.8 with probability 7e-5.
 BANDS, ROWS = 24, 5
+#: Members outside the largest component that a bucket may pair without a second band.
+OUTSIDE = 64
 #: Bytes of text worked on at once.
 CHUNK = 2_000_000
 #: Texts a task remembers, to send a set once.
@@ -197,8 +201,42 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _named(labels: DataFrame, side: str) -> DataFrame:
-    return labels.select(F.col("node").alias(side), F.col("label").alias(f"{side}_label"))
+def _near_in_size(pairs: DataFrame, weights: str, similarity: float) -> DataFrame:
+    """Sets whose sizes n and m are further apart cannot be as similar."""
+    return pairs.where(F.least("n", "m") >= F.greatest("n", "m") * F.lit(similarity)) if weights == "set" else pairs
+
+
+def _across(met: DataFrame, nodes: DataFrame, labels: DataFrame, weights: str, similarity: float) -> DataFrame:
+    """Pairs (a, b) that share a bucket and are of different components."""
+    label = labels.select("node", "label")
+    members = met.select("bucket", "node", "n").join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    members = materialise(members, "near-members")
+    wide = _outside(members)
+    found = [_paired(members, wide.where(F.col("outside") <= OUTSIDE), weights, similarity)]
+    hot = wide.where(F.col("outside") > OUTSIDE)
+    both = members.join(hot.select("bucket"), "bucket", "left_semi").join(nodes.select("node", "bands"), "node")
+    again = both.select("node", "n", "label", "bucket", F.explode("bands").alias("second")).where("second <> bucket")
+    keys = F.xxhash64(F.least("bucket", "second"), F.greatest("bucket", "second"))
+    again = materialise(again.select("node", "n", "label", keys.alias("bucket")).distinct(), "near-members")
+    found.append(_paired(again, _outside(again), weights, similarity))
+    return found[0].unionByName(found[1]).distinct()
+
+
+def _outside(members: DataFrame) -> DataFrame:
+    """Buckets with more than one component: the label of the largest, and how many members are outside it."""
+    parts = members.groupBy("bucket", "label").agg(F.count("*").alias("held"))
+    most = parts.groupBy("bucket").agg(F.max(F.struct("held", "label")).alias("most"), F.sum("held").alias("members"))
+    most = most.select("bucket", F.col("most.label").alias("largest"), (F.col("members") - F.col("most.held")).alias("outside"))
+    return materialise(most.where("outside > 0"), "near-buckets")
+
+
+def _paired(members: DataFrame, buckets: DataFrame, weights: str, similarity: float) -> DataFrame:
+    """Each member outside the largest component of its bucket with the members of other components."""
+    inside = members.join(buckets.select("bucket", "largest"), "bucket")
+    outer = inside.where("label <> largest").select("bucket", F.col("node").alias("a"), "n", F.col("label").alias("a_label"))
+    inner = inside.select("bucket", F.col("node").alias("b"), F.col("n").alias("m"), "label", "largest")
+    pairs = outer.join(inner, "bucket").where("a_label <> label AND (label = largest OR a < b)")
+    return _near_in_size(pairs, weights, similarity).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text", weights="set", similarity=SIMILARITY,
@@ -215,29 +253,20 @@ def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text", weights="
     nodes = known.where("n > 0").groupBy("f1", "f2", "n").agg(F.first("bands").alias("bands"))
     nodes = materialise(nodes.withColumn("node", F.monotonically_increasing_id()), "near-nodes")  # fixed once written
     entries = nodes.select("node", "n", F.explode("bands").alias("bucket"))
-    ends = entries.groupBy("bucket").agg(F.min("node").alias("first"), F.max("node").alias("last"))
-    ends = materialise(ends.where(F.col("first") < F.col("last")), "near-buckets")
-    met = entries.join(ends, "bucket")
-    pairs = met.select("node", "n", F.explode(F.array("first", "last")).alias("other")).where("node <> other")
-    pairs = pairs.select(F.greatest("node", "other").alias("a"), F.least("node", "other").alias("b"), "node", "n").distinct()
-    sizes = nodes.select(F.col("node").alias("o"), F.col("n").alias("m"))
-    pairs = pairs.withColumn("o", F.when(F.col("node") == F.col("a"), F.col("b")).otherwise(F.col("a"))).join(sizes, "o")
-    if weights == "set":  # sizes further apart cannot be as similar
-        pairs = pairs.where(F.least("n", "m") >= F.greatest("n", "m") * F.lit(similarity))
-    pairs = materialise(pairs.select("a", "b").distinct(), "near-pairs")
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "f1", "f2"), "node")
+    held = entries.groupBy("bucket").agg(F.min("node").alias("first"), F.max("node").alias("last"))
+    ends = materialise(held.where(F.col("first") < F.col("last")), "near-buckets")
+    met = materialise(entries.join(ends, "bucket"), "near-met")
+    stars = met.select("node", "n", F.explode(F.array("first", "last")).alias("other")).where("node <> other").distinct()
+    sizes = nodes.select(F.col("node").alias("other"), F.col("n").alias("m"))
+    stars = _near_in_size(stars.join(sizes, "other"), weights, similarity)
+    one = materialise(stars.groupBy("node").agg(F.min("other").alias("b")).select(F.col("node").alias("a"), "b"), "near-pairs")
+    asked = met.select("node").distinct().join(nodes.select("node", "f1", "f2"), "node")
     sets = _all_sets(docs, text_col, weights, words).join(asked, ["f1", "f2"]).dropDuplicates(["node"])
     sets = materialise(sets.select("node", "items"), "near-sets")
-    one = pairs.groupBy("a").agg(F.min("b").alias("b")).select("a", "b")
     links = _verified(one, sets, weights, similarity)
-    labels = components(links)
-    rest = (
-        pairs.join(one, ["a", "b"], "left_anti")
-        .join(_named(labels, "a"), "a", "left").join(_named(labels, "b"), "b", "left")
-        .where(F.coalesce("a_label", "a") != F.coalesce("b_label", "b")).select("a", "b")
-    )
+    rest = materialise(_across(met, nodes, components(links), weights, similarity), "near-pairs")
     more = _verified(rest, sets, weights, similarity)
-    links = links.unionByName(more)
+    links = links.unionByName(more).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     labels = components(links)
     degrees = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
     classes = (
