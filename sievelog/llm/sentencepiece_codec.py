@@ -2,9 +2,10 @@
 
 The pieces come from a public SentencePiece model file, read here as far as needed. Where
 the file holds merge ranks instead of log probabilities (a BPE model), the log score of a
-piece follows Zipf's law over its rank. No piece crosses the start of a run of whitespace
-markers, nor a character that is in no piece, so the best path over a text is made of the
-best paths over the parts between; those of parts met before are remembered.
+piece follows Zipf's law over its rank. Where no piece crosses the start of a run of
+whitespace markers, a character that is in no piece, or the step from letters to other
+characters, the best path over a text is made of the best paths over the parts between;
+those of parts met before are remembered.
 """
 
 import math
@@ -13,6 +14,7 @@ from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -192,15 +194,22 @@ class Codec:
         self.raw = [b"" if k in (CONTROL, UNKNOWN) else bytes([int(t[1:-1], 16)]) if k == BYTE else t.encode() for t, k in zip(pieces.texts, pieces.kinds, strict=True)]
         known = {c for t in self.ids for c in t.decode()}
         inner = any(MARK in t.decode().lstrip(MARK) for t in self.ids)
-        self.known = re.escape("".join(sorted(known)))
-        #: Parts between which no piece reaches; without such a rule, the whole text.
-        if inner or not known:
-            self.parts = re.compile(r".+", re.S)
-        else:
-            rest = re.escape("".join(sorted(known - {MARK})))
-            self.parts = re.compile(f"{MARK}*[{rest}]+|{MARK}+|[^{rest}{MARK}]" if rest else f"{MARK}+|[^{MARK}]", re.S)
+        self.parts = re.compile(self._part(known), re.S) if known and not inner else re.compile(r".+", re.S)
         self.met: dict[str, tuple[int, ...]] = {}
 
+    def _part(self, known: set[str]) -> str:
+        """A pattern of the parts between which no piece reaches."""
+        def set_of(chars):
+            return "[" + re.escape("".join(sorted(chars))) + "]+" if chars else "(?!)"
+
+        letters = {c for c in known - {MARK} if c.isalpha()}
+        others = known - {MARK} - letters
+        mixed = any(
+            x.isalpha() != y.isalpha() for t in self.ids for x, y in pairwise(t.decode()) if MARK not in (x, y)
+        )
+        runs = [set_of(letters | others)] if mixed else [set_of(letters), set_of(others)]
+        return "|".join([f"{MARK}*{r}" for r in runs] + [f"{MARK}+", "."])
+
     def _path(self, part: str) -> tuple[int, ...]:
         """The pieces of the best path; of equal ones, that with the longer last piece."""
         data = part.encode("utf-8", "surrogatepass")
