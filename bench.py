@@ -20,6 +20,8 @@ SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 RUNS = 3
 BATCH = 1000
+#: Queries of the batch that are also run one by one.
+SEPARATE = 20
 
 
 def session() -> SparkSession:
@@ -58,8 +60,43 @@ def batch_queries(logs, step):
     )
 
 
+def files_read(df) -> dict:
+    """Files and bytes that the scans of a query opened, after their partition filters."""
+    df.collect()
+    seen = {"files": 0, "bytes": 0}
+
+    def walk(plan):
+        kind = plan.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            return walk(plan.executedPlan())
+        if kind.endswith("QueryStageExec"):
+            return walk(plan.plan())
+        if kind == "FileSourceScanExec":
+            for name, metric in (("files", "numFiles"), ("bytes", "filesSize")):
+                seen[name] += plan.metrics().apply(metric).value()
+        children = plan.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return seen
+
+
+def separate(spark, logs, asked) -> None:
+    """The queries of the batch one by one, each a scan of its own."""
+    for q in asked.orderBy("query_id").limit(SEPARATE).collect():
+        filters = {k: q[k] for k in ("keyword", "prefix", "wildcard", "start_ms", "end_ms", "level", "service")}
+        drain(sl.matching(logs, **filters))
+
+
 def main() -> None:
     spark = session()
+    with sl.scratch_scope(spark):
+        run(spark)
+    spark.stop()
+
+
+def run(spark) -> None:
     path = lambda name: sl.scratch_path(spark, f"bench-{name}")
 
     def stored(name, rows):
@@ -117,6 +154,8 @@ def main() -> None:
         "compound_whole_table": lambda: drain(sl.compound(logs, keyword="error", service="Payment")),
         "scatter_gather": lambda: drain(sl.scatter_gather(logs, 3, keyword="error")),
         "batch_1000": lambda: drain(sl.batch_search(clustered, asked)),
+        "separate_20": lambda: separate(spark, clustered, asked),
+        "keyword_indexed_search": lambda: drain(sl.search_indexed(clustered, postings, keyword="77", level="ERROR")),
         "top_k_errors": lambda: sl.top_k_errors(logs, 10).collect(),
         "anomalies": lambda: sl.detect_anomalies(logs)[0].collect(),
         "templates": lambda: sl.template_counts(logs).collect(),
@@ -133,6 +172,16 @@ def main() -> None:
             runs.append(time.perf_counter() - start)
         seconds[name] = round(statistics.median(runs[1:]), 4)
 
+    found = logs.where(F.col("epoch_ms") >= middle).orderBy("epoch_ms").first()
+    word = found.message.split()[-1].rstrip("}")
+    rare = sl.search_indexed(clustered, postings, keyword=word, start_ms=found.epoch_ms, end_ms=near[1])
+    reads = {
+        "time_range_scan": files_read(sl.search_time_range(logs, *near)),
+        "time_range_clustered": files_read(sl.search_time_range(clustered, *near)),
+        "keyword_scan": files_read(sl.search_exact(logs, "77")),
+        "rare_keyword_indexed": files_read(rare),
+    }
+
     row_jobs = {
         "csv_ingest": n_logs,
         "build_postings": n_logs,
@@ -154,11 +203,14 @@ def main() -> None:
                 "sf": os.path.basename(SF_DIR.rstrip("/")).removeprefix("sf"),
                 "rows": {"events": n_logs, "documents": n_docs},
                 "rows_per_sec": {k: round(n / seconds[k]) for k, n in row_jobs.items()},
-                "per_query_ms": {"batch_1000": round(seconds["batch_1000"] * 1000 / n_batch, 3)},
+                "per_query_ms": {
+                    "batch_1000": round(seconds["batch_1000"] * 1000 / n_batch, 3),
+                    "separate": round(seconds["separate_20"] * 1000 / SEPARATE, 3),
+                },
+                "read": reads,
             }
         )
     )
-    spark.stop()
 
 
 if __name__ == "__main__":
