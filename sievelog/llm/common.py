@@ -1,5 +1,8 @@
 """What the operators share: white space, tables read by folder, fold numbers, cut lineage."""
 
+import os
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,9 +14,22 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    _show_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _show_package(spark: SparkSession) -> None:
+    """On one machine, let Python workers import this package from where the driver did.
+
+    On a cluster it is installed on the executors or given with ``--py-files``.
+    """
+    if spark.sparkContext.master.startswith("local["):
+        root = str(Path(__file__).resolve().parents[2])
+        known = spark.sparkContext.environment.get("PYTHONPATH", "")
+        if root not in known.split(os.pathsep):
+            spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(p for p in (known, root) if p)
+
+
 def whole(text: str | Column) -> Column:
     """The text, empty where it is null."""
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))

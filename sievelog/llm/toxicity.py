@@ -139,7 +139,10 @@ class _Rows:
 
 
 def _descend(own, y, twins, width):
-    """Logistic loss + ridge + FAIRNESS * squared difference to the twin, by Adam on all rows."""
+    """Logistic loss + ridge + FAIRNESS * squared difference to the twin, by Adam on all rows.
+
+    No weight is below zero: in a long text no number of harmless words excuses an insult.
+    """
     x, t = _Rows(own), _Rows([o for _, o in twins])
     of = np.array([i for i, _ in twins], dtype=np.int64)
     weight = np.where(y > 0, TOXIC_WEIGHT, 1.0)
@@ -158,7 +161,7 @@ def _descend(own, y, twins, width):
         g = np.append(g + RIDGE * w, r.sum())
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         move = 0.1 * min(1, 4 * (1 - step / STEPS) + 0.02) * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
-        w, b = w - move[:-1], b - move[-1]
+        w, b = np.maximum(w - move[:-1], 0), b - move[-1]
     return w, b
 
 
