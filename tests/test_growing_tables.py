@@ -195,3 +195,10 @@ def test_scratch_scope_clears_up(spark):
         assert os.path.exists(path.removeprefix("file:"))
     assert not os.path.exists(path.removeprefix("file:"))
     assert shared_dir(spark)
+
+
+def test_broad_ranges_may_skip_the_deal(messy):
+    rows = sl.search_time_range(messy, 0, 2**60, deal=False)
+    times = [(r.epoch_ms, r.log_id) for r in rows.collect()]
+    assert times == sorted(times) and len(times) == messy.count()
+    assert "_dealt" not in plan_of(rows) and "_dealt" in plan_of(sl.search_time_range(messy, 0, 2**60))
