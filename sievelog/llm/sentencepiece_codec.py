@@ -167,7 +167,7 @@ class DoubleArray:
         state, base, check, value = 0, self.base, self.check, self.value
         for end in range(at, len(data)):
             t = base[state] + data[end] + 1
-            if check[t] != state or not t:
+            if check[t] != state:  # the root's own place is 0, and t is never 0
                 return
             state = t
             if value[t] >= 0:
@@ -214,7 +214,7 @@ class Codec:
         """The pieces of the best path; of equal ones, that with the longer last piece."""
         data = part.encode("utf-8", "surrogatepass")
         n = len(data)
-        best, back = [-math.inf] * (n + 1), [(0, -1)] * (n + 1)
+        best, came, used = [-math.inf] * (n + 1), [0] * (n + 1), [-1] * (n + 1)
         best[0] = 0.0
         base, check, value, scores, unknown = *self.steps, self.scores, self.unknown_score
         for at in range(n):
@@ -226,20 +226,24 @@ class Codec:
             state, end, known = 0, at, False
             while end < n:  # the walk of DoubleArray.prefixes, shortest piece first
                 t = base[state] + data[end] + 1
-                if check[t] != state or not t:
+                if check[t] != state:
                     break
-                state, end, piece = t, end + 1, value[t]
+                state = t
+                end += 1
+                piece = value[t]
                 if piece >= 0:
                     score = here + scores[piece]
                     if score > best[end]:
-                        best[end], back[end] = score, (at, piece)
+                        best[end] = score
+                        came[end] = at
+                        used[end] = piece
                     if end == single:
                         known = True
             if not known and here + unknown > best[single]:
-                best[single], back[single] = here + unknown, (at, -1)
+                best[single], came[single], used[single] = here + unknown, at, -1
         out, at = [], n
         while at:
-            start, piece = back[at]
+            start, piece = came[at], used[at]
             if piece >= 0:
                 out.append(piece)
             elif self.fallback:
