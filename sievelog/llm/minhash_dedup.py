@@ -10,11 +10,13 @@ Texts with the same set become one node. Nodes that agree in all components of a
 share a bucket. A bucket first pairs each member with its two ends only, so hot buckets
 cost their size; the pairs are verified on the sets, one per node, and linked nodes form
 components. Members of the largest component of a bucket need no pairs among each other:
-only the members outside it are then paired with the rest, and in a bucket with many such
-members only with those that share a second band.
+the few members outside it are then paired with all others. A bucket with many of them is
+cut finer by further bands until few are left, and what is still crowded pairs those members
+with its ends again. So the pairs stay in proportion to the members of the buckets.
 """
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +30,9 @@ WORDS = 5
 SIMILARITY = 0.8
 #: 24 bands of 5 components miss a pair of similarity 0.8 with probability 7e-5.
 BANDS, ROWS = 24, 5
-#: Members outside the largest component that a bucket may pair without a second band.
-OUTSIDE = 64
+#: Members outside the largest component that a bucket may pair with all others, and the
+#: further bands by which a bucket with more of them is cut, one by one.
+OUTSIDE, FINER = 8, 3
 #: Bytes of text worked on at once.
 CHUNK = 2_000_000
 #: Texts a task remembers, to send a set once.
@@ -209,17 +212,20 @@ def _near_in_size(pairs: DataFrame, weights: str, similarity: float) -> DataFram
 def _across(met: DataFrame, nodes: DataFrame, labels: DataFrame, weights: str, similarity: float) -> DataFrame:
     """Pairs (a, b) that share a bucket and are of different components."""
     label = labels.select("node", "label")
-    members = met.select("bucket", "node", "n").join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    members = materialise(members, "near-members")
-    wide = _outside(members)
-    found = [_paired(members, wide.where(F.col("outside") <= OUTSIDE), weights, similarity)]
-    hot = wide.where(F.col("outside") > OUTSIDE)
-    both = members.join(hot.select("bucket"), "bucket", "left_semi").join(nodes.select("node", "bands"), "node")
-    again = both.select("node", "n", "label", "bucket", F.explode("bands").alias("second")).where("second <> bucket")
-    keys = F.xxhash64(F.least("bucket", "second"), F.greatest("bucket", "second"))
-    again = materialise(again.select("node", "n", "label", keys.alias("bucket")).distinct(), "near-members")
-    found.append(_paired(again, _outside(again), weights, similarity))
-    return found[0].unionByName(found[1]).distinct()
+    members = met.select("bucket", "band", "node", "n").join(label, "node", "left")
+    members = materialise(members.withColumn("label", F.coalesce("label", "node")), "near-members")
+    mixed = _outside(members)
+    found = [_paired(members, mixed.where(F.col("outside") <= OUTSIDE), weights, similarity)]
+    crowded = members.join(mixed.where(F.col("outside") > OUTSIDE).select("bucket"), "bucket", "left_semi")
+    crowded = crowded.join(nodes.select("node", "bands"), "node")
+    further = [F.get("bands", (F.col("band") + k) % F.size("bands")) for k in range(1, FINER + 1)]
+    finer = crowded.select("node", "n", "label", "bucket", F.explode(F.array(*further)).alias("further"))
+    finer = finer.select("node", "n", "label", F.xxhash64("bucket", "further").alias("bucket")).distinct()
+    finer = materialise(finer, "near-members")
+    mixed = _outside(finer)
+    found.append(_paired(finer, mixed.where(F.col("outside") <= OUTSIDE), weights, similarity))
+    found.append(_to_ends(finer, mixed.where(F.col("outside") > OUTSIDE), weights, similarity))
+    return reduce(DataFrame.unionByName, found).distinct()
 
 
 def _outside(members: DataFrame) -> DataFrame:
@@ -231,12 +237,27 @@ def _outside(members: DataFrame) -> DataFrame:
 
 
 def _paired(members: DataFrame, buckets: DataFrame, weights: str, similarity: float) -> DataFrame:
-    """Each member outside the largest component of its bucket with the members of other components."""
+    """Each of the few members outside the largest component of a bucket with those of other components."""
     inside = members.join(buckets.select("bucket", "largest"), "bucket")
     outer = inside.where("label <> largest").select("bucket", F.col("node").alias("a"), "n", F.col("label").alias("a_label"))
     inner = inside.select("bucket", F.col("node").alias("b"), F.col("n").alias("m"), "label", "largest")
     pairs = outer.join(inner, "bucket").where("a_label <> label AND (label = largest OR a < b)")
-    return _near_in_size(pairs, weights, similarity).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    return _ordered(_near_in_size(pairs, weights, similarity))
+
+
+def _to_ends(members: DataFrame, buckets: DataFrame, weights: str, similarity: float) -> DataFrame:
+    """The members outside the largest component of a bucket with its first and last member."""
+    inside = members.join(buckets.select("bucket", "largest"), "bucket")
+    whole_ = F.struct("node", "n", "label")
+    ends = inside.groupBy("bucket").agg(F.min(whole_).alias("first"), F.max(whole_).alias("last"))
+    outer = inside.where("label <> largest").join(ends, "bucket")
+    pairs = outer.select(F.col("node").alias("a"), "n", "label", F.explode(F.array("first", "last")).alias("end"))
+    pairs = pairs.where("label <> end.label").select("a", "n", F.col("end.node").alias("b"), F.col("end.n").alias("m"))
+    return _ordered(_near_in_size(pairs, weights, similarity))
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text", weights="set", similarity=SIMILARITY,
@@ -252,7 +273,7 @@ def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text", weights="
     known = materialise(signatures(docs, id_col, text_col, weights, bands, rows, words), "near-signatures")
     nodes = known.where("n > 0").groupBy("f1", "f2", "n").agg(F.first("bands").alias("bands"))
     nodes = materialise(nodes.withColumn("node", F.monotonically_increasing_id()), "near-nodes")  # fixed once written
-    entries = nodes.select("node", "n", F.explode("bands").alias("bucket"))
+    entries = nodes.select("node", "n", F.posexplode("bands").alias("band", "bucket"))
     held = entries.groupBy("bucket").agg(F.min("node").alias("first"), F.max("node").alias("last"))
     ends = materialise(held.where(F.col("first") < F.col("last")), "near-buckets")
     met = materialise(entries.join(ends, "bucket"), "near-met")
