@@ -32,7 +32,7 @@ SIMILARITY = 0.8
 BANDS, ROWS = 24, 5
 #: Members outside the largest component that a bucket may pair with all others, and the
 #: further bands by which a bucket with more of them is cut, one by one.
-OUTSIDE, FINER = 8, 3
+OUTSIDE, FINER = 8, 6
 #: Bytes of text worked on at once.
 CHUNK = 2_000_000
 #: Texts a task remembers, to send a set once.
