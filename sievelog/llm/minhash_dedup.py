@@ -7,16 +7,17 @@ sets agree in a component with probability equal to their probability Jaccard si
 which for equal weights is the Jaccard similarity.
 
 Texts with the same set become one node. Nodes that agree in all components of a band
-share a bucket. A bucket first pairs each member with its two ends only, so hot buckets
-cost their size; the pairs are verified on the sets, one per node, and linked nodes form
-components. Members of the largest component of a bucket need no pairs among each other:
-the few members outside it are then paired with all others. A bucket with many of them is
-cut finer by further bands until few are left, and what is still crowded pairs those members
-with its ends again. So the pairs stay in proportion to the members of the buckets.
+share a bucket. First each node is paired with the most central pivot of its buckets, so hot
+buckets cost their size; a node is the more central the more others its buckets hold. The
+pairs are verified on the sets and linked nodes form components. Members of the largest
+component of a bucket need no pairs among each other: those outside it are then compared
+with all members of other components. Where few are outside, the pairs are written out;
+else their sets are dealt to salted blocks, which compare all pairs and return no more
+links than join their components. So every pair that shares a bucket is either verified
+or already in one component.
 """
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -30,9 +31,10 @@ WORDS = 5
 SIMILARITY = 0.8
 #: 24 bands of 5 components miss a pair of similarity 0.8 with probability 7e-5.
 BANDS, ROWS = 24, 5
-#: Members outside the largest component that a bucket may pair with all others, and the
-#: further bands by which a bucket with more of them is cut, one by one.
-OUTSIDE, FINER = 8, 6
+#: Members outside the largest component up to which a bucket writes its pairs out.
+OUTSIDE = 8
+#: Members and elements of one side of a block, on average, and cells of its table at once.
+MEMBERS, ELEMENTS, CELLS = 256, 1_000_000, 4_000_000
 #: Bytes of text worked on at once.
 CHUNK = 2_000_000
 #: Texts a task remembers, to send a set once.
@@ -167,19 +169,21 @@ def probability_jaccard(a: np.ndarray, p: np.ndarray, b: np.ndarray, q: np.ndarr
     return float(total)
 
 
+def _split(raw: bytes, weights: str) -> tuple[np.ndarray, np.ndarray]:
+    """Elements and weights of a set from its bytes."""
+    items = np.frombuffer(raw, np.uint32)
+    if weights == "count":
+        return items[: len(items) // 2], items[len(items) // 2 :].astype(float)
+    return items, np.ones(len(items))
+
+
 def _verified(edges: DataFrame, sets: DataFrame, weights: str, similarity: float) -> DataFrame:
     """The edges (a, b) whose sets are as similar as asked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def split(raw: bytes):
-            items = np.frombuffer(raw, np.uint32)
-            if weights == "count":
-                return items[: len(items) // 2], items[len(items) // 2 :].astype(float)
-            return items, np.ones(len(items))
-
         for batch in batches:
             x, y = (batch.column(k).to_pylist() for k in (2, 3))
-            good = [probability_jaccard(*split(p), *split(q)) >= similarity for p, q in zip(x, y, strict=True)]
+            good = [probability_jaccard(*_split(p, weights), *_split(q, weights)) >= similarity for p, q in zip(x, y, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     left = sets.select(F.col("node").alias("a"), F.col("items").alias("x"))
@@ -209,30 +213,28 @@ def _near_in_size(pairs: DataFrame, weights: str, similarity: float) -> DataFram
     return pairs.where(F.least("n", "m") >= F.greatest("n", "m") * F.lit(similarity)) if weights == "set" else pairs
 
 
-def _across(met: DataFrame, nodes: DataFrame, labels: DataFrame, weights: str, similarity: float) -> DataFrame:
-    """Pairs (a, b) that share a bucket and are of different components."""
-    label = labels.select("node", "label")
-    members = met.select("bucket", "band", "node", "n").join(label, "node", "left")
+def _across(met: DataFrame, labels: DataFrame, sets: DataFrame, weights: str, similarity: float) -> DataFrame:
+    """Links (a, b) between members of a bucket that are of different components, enough to join all that are similar."""
+    members = met.select("bucket", "node", "n").join(labels.select("node", "label"), "node", "left")
     members = materialise(members.withColumn("label", F.coalesce("label", "node")), "near-members")
     mixed = _outside(members)
-    found = [_paired(members, mixed.where(F.col("outside") <= OUTSIDE), weights, similarity)]
-    crowded = members.join(mixed.where(F.col("outside") > OUTSIDE).select("bucket"), "bucket", "left_semi")
-    crowded = crowded.join(nodes.select("node", "bands"), "node")
-    further = [F.get("bands", (F.col("band") + k) % F.size("bands")) for k in range(1, FINER + 1)]
-    finer = crowded.select("node", "n", "label", "bucket", F.explode(F.array(*further)).alias("further"))
-    finer = finer.select("node", "n", "label", F.xxhash64("bucket", "further").alias("bucket")).distinct()
-    finer = materialise(finer, "near-members")
-    mixed = _outside(finer)
-    found.append(_paired(finer, mixed.where(F.col("outside") <= OUTSIDE), weights, similarity))
-    found.append(_to_ends(finer, mixed.where(F.col("outside") > OUTSIDE), weights, similarity))
-    return reduce(DataFrame.unionByName, found).distinct()
+    pairs = materialise(_paired(members, mixed.where(F.col("outside") <= OUTSIDE), weights, similarity), "near-pairs")
+    few = _verified(pairs, sets, weights, similarity)
+    return few.unionByName(_in_blocks(members, mixed.where(F.col("outside") > OUTSIDE), sets, weights, similarity))
 
 
 def _outside(members: DataFrame) -> DataFrame:
-    """Buckets with more than one component: the label of the largest, and how many members are outside it."""
-    parts = members.groupBy("bucket", "label").agg(F.count("*").alias("held"))
-    most = parts.groupBy("bucket").agg(F.max(F.struct("held", "label")).alias("most"), F.sum("held").alias("members"))
-    most = most.select("bucket", F.col("most.label").alias("largest"), (F.col("members") - F.col("most.held")).alias("outside"))
+    """Buckets with more than one component: the label of the largest, how many members are outside it, blocks of these and of all."""
+    parts = members.groupBy("bucket", "label").agg(F.count("*").alias("held"), F.sum("n").alias("size"))
+    most = parts.groupBy("bucket").agg(
+        F.max(F.struct("held", "label", "size")).alias("most"), F.sum("held").alias("members"), F.sum("size").alias("size")
+    )
+    outside, size = F.col("members") - F.col("most.held"), F.col("size") - F.col("most.size")
+    blocks = lambda n, of: F.ceil(F.greatest(n / F.lit(MEMBERS), of / F.lit(ELEMENTS))).cast("int")
+    most = most.select(
+        "bucket", F.col("most.label").alias("largest"), outside.alias("outside"),
+        blocks(outside, size).alias("outer_blocks"), blocks(F.col("members"), F.col("size")).alias("all_blocks"),
+    )
     return materialise(most.where("outside > 0"), "near-buckets")
 
 
@@ -245,15 +247,78 @@ def _paired(members: DataFrame, buckets: DataFrame, weights: str, similarity: fl
     return _ordered(_near_in_size(pairs, weights, similarity))
 
 
-def _to_ends(members: DataFrame, buckets: DataFrame, weights: str, similarity: float) -> DataFrame:
-    """The members outside the largest component of a bucket with its first and last member."""
-    inside = members.join(buckets.select("bucket", "largest"), "bucket")
-    whole_ = F.struct("node", "n", "label")
-    ends = inside.groupBy("bucket").agg(F.min(whole_).alias("first"), F.max(whole_).alias("last"))
-    outer = inside.where("label <> largest").join(ends, "bucket")
-    pairs = outer.select(F.col("node").alias("a"), "n", "label", F.explode(F.array("first", "last")).alias("end"))
-    pairs = pairs.where("label <> end.label").select("a", "n", F.col("end.node").alias("b"), F.col("end.n").alias("m"))
-    return _ordered(_near_in_size(pairs, weights, similarity))
+def _in_blocks(members: DataFrame, buckets: DataFrame, sets: DataFrame, weights: str, similarity: float) -> DataFrame:
+    """Links of the members outside the largest component of a bucket with those of other components.
+
+    Members of either side are dealt to blocks by a hash, and each pair of blocks is one
+    group. A group counts what its sets share in one table and returns a link for each two
+    components that it joins.
+    """
+
+    def run(group: pa.Table) -> pa.Table:
+        outer = np.asarray(group["outer"].to_pylist(), bool)
+        node, label = (np.asarray(group[c].to_pylist(), np.int64) for c in ("node", "label"))
+        held = [_split(raw, weights) for raw in group["items"].to_pylist()]
+        rows, columns = np.flatnonzero(outer), np.flatnonzero(~outer)
+        shared = _shared([held[i][0] for i in rows], [held[i][0] for i in columns])
+        new = (label[rows][:, None] != label[columns][None, :]) & (shared > 0)
+        if weights == "set":
+            sizes = np.asarray([len(x) for x, _ in held], float)
+            new &= shared / np.maximum(sizes[rows][:, None] + sizes[columns][None, :] - shared, 1) >= similarity
+        top: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while top.get(x, x) != x:
+                top[x] = x = top.get(top[x], top[x])
+            return x
+
+        out: list[tuple[int, int]] = []
+        for r, c in zip(*np.nonzero(new), strict=True):
+            i, j = rows[r], columns[c]
+            x, y = find(int(label[i])), find(int(label[j]))
+            if x != y and (weights == "set" or probability_jaccard(*held[i], *held[j]) >= similarity):
+                top[x] = y
+                out.append((int(node[i]), int(node[j])))
+        return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
+
+    inside = members.join(buckets, "bucket")
+    salt = F.xxhash64("node", "bucket")
+    outer_at, at = F.pmod(salt, "outer_blocks").cast("int"), F.pmod(salt, "all_blocks").cast("int")
+    upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    cells = F.concat(
+        F.when(F.col("label") != F.col("largest"), F.transform(upto("all_blocks"), lambda k: F.struct(F.lit(True).alias("outer"), outer_at.alias("i"), k.alias("j"))))
+        .otherwise(F.array()),
+        F.transform(upto("outer_blocks"), lambda k: F.struct(F.lit(False).alias("outer"), k.alias("i"), at.alias("j"))),
+    )
+    dealt = inside.select("bucket", "node", "label", cells.alias("cells")).join(sets, "node")
+    dealt = dealt.select("bucket", "node", "label", "items", F.explode("cells").alias("cell"))
+    dealt = dealt.select("bucket", "cell.i", "cell.j", "cell.outer", "node", "label", "items")
+    return materialise(dealt.groupBy("bucket", "i", "j").applyInArrow(run, "a bigint, b bigint"), "near-links")
+
+
+def _shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many elements each set on the left has in common with each on the right."""
+    counts = np.zeros((len(left), len(right)))
+    if not left or not right:
+        return counts
+    x, y = np.concatenate(left), np.concatenate(right)
+    both = np.intersect1d(x, y)
+    sides = []
+    for items, held in ((x, left), (y, right)):
+        row, at = np.repeat(np.arange(len(held)), [len(h) for h in held]), np.searchsorted(both, items)
+        known = at < len(both)
+        known[known] = both[at[known]] == items[known]
+        order = np.argsort(at[known], kind="stable")
+        sides.append((row[known][order], at[known][order], len(held)))
+    step = max(CELLS // (len(left) + len(right)), 1)
+    for low in range(0, len(both), step):
+        tables = []
+        for row, at, n in sides:
+            a, b = np.searchsorted(at, (low, low + step))
+            tables.append(np.zeros((n, min(step, len(both) - low)), np.float32))
+            tables[-1][row[a:b], at[a:b] - low] = 1
+        counts += tables[0] @ tables[1].T
+    return counts
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -273,21 +338,20 @@ def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text", weights="
     known = materialise(signatures(docs, id_col, text_col, weights, bands, rows, words), "near-signatures")
     nodes = known.where("n > 0").groupBy("f1", "f2", "n").agg(F.first("bands").alias("bands"))
     nodes = materialise(nodes.withColumn("node", F.monotonically_increasing_id()), "near-nodes")  # fixed once written
-    entries = nodes.select("node", "n", F.posexplode("bands").alias("band", "bucket"))
-    held = entries.groupBy("bucket").agg(F.min("node").alias("first"), F.max("node").alias("last"))
-    ends = materialise(held.where(F.col("first") < F.col("last")), "near-buckets")
-    met = materialise(entries.join(ends, "bucket"), "near-met")
-    stars = met.select("node", "n", F.explode(F.array("first", "last")).alias("other")).where("node <> other").distinct()
-    sizes = nodes.select(F.col("node").alias("other"), F.col("n").alias("m"))
-    stars = _near_in_size(stars.join(sizes, "other"), weights, similarity)
-    one = materialise(stars.groupBy("node").agg(F.min("other").alias("b")).select(F.col("node").alias("a"), "b"), "near-pairs")
+    entries = nodes.select("node", "n", F.explode("bands").alias("bucket"))
+    held = entries.groupBy("bucket").agg(F.count("*").alias("held")).where("held > 1")
+    met = materialise(entries.join(held, "bucket"), "near-met")
+    central = met.groupBy("node").agg(F.sum("held").alias("meets"))
+    pivots = met.select("bucket", "node", "n").join(central, "node")
+    pivots = materialise(pivots.groupBy("bucket").agg(F.max(F.struct("meets", "node", "n")).alias("pivot")), "near-buckets")
+    stars = met.join(pivots, "bucket").where("node <> pivot.node").select("node", "n", "pivot", F.col("pivot.n").alias("m"))
+    stars = _near_in_size(stars, weights, similarity).groupBy("node").agg(F.max("pivot").alias("pivot"))
+    one = materialise(stars.select(F.col("node").alias("a"), F.col("pivot.node").alias("b")), "near-pairs")
     asked = met.select("node").distinct().join(nodes.select("node", "f1", "f2"), "node")
     sets = _all_sets(docs, text_col, weights, words).join(asked, ["f1", "f2"]).dropDuplicates(["node"])
     sets = materialise(sets.select("node", "items"), "near-sets")
     links = _verified(one, sets, weights, similarity)
-    rest = materialise(_across(met, nodes, components(links), weights, similarity), "near-pairs")
-    more = _verified(rest, sets, weights, similarity)
-    links = links.unionByName(more).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    links = links.unionByName(_across(met, components(links), sets, weights, similarity)).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     labels = components(links)
     degrees = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
     classes = (

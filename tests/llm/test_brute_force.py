@@ -206,6 +206,47 @@ def test_near_duplicates(spark, documents):  # noqa: F811
     assert {r.doc_id for r in out if r.kept} == set(want.values())
 
 
+def _star(hub, n_copies, seed, words=124, edits=2):
+    """A text and copies that are 0.85 similar to it and 0.71 to each other, the text at a random place."""
+    rng = np.random.default_rng(seed)
+    base = [f"{hub}w{n}" for n in range(words)]
+    out = []
+    for i in range(n_copies):
+        copy = list(base)
+        for at in rng.choice(np.arange(5, words - 5, 6), edits, replace=False):
+            copy[at] = f"{hub}x{i}y{at}"
+        out.append(" ".join(copy))
+    out.insert(int(rng.integers(0, n_copies)), " ".join(base))
+    return out
+
+
+@pytest.mark.parametrize("how", [{}, {"OUTSIDE": 0, "MEMBERS": 16, "CELLS": 3000}])
+def test_near_duplicates_through_a_central_text(spark, documents, monkeypatch, how):  # noqa: F811
+    for name, value in how.items():
+        monkeypatch.setattr(minhash_dedup, name, value)
+    texts = [t for hub, n in enumerate((300, 150, 20)) for t in _star(hub, n, hub)]
+    rows = [(i, t, "en", "a") for i, t in enumerate(texts)]
+    want = _near_classes({r[0]: r[1] for r in rows})
+    assert len(set(want.values())) == 3
+    for weights in ("set", "count"):  # the shingles of a text differ, so both are the same
+        out = minhash_dedup.near_duplicates(documents(rows, extra=False), weights=weights).collect()
+        assert {r.doc_id: r.class_id for r in out} == want
+
+
+def test_crowded_buckets_compare_all_members(spark, monkeypatch):
+    """Members whose central one is similar to none: every other link of the bucket is found, in any number of blocks."""
+    rng = np.random.default_rng(4)
+    elements = [np.unique(rng.integers(0, 2**32, 100, np.uint32)) for _ in range(40)]
+    sets = [np.sort(np.append(elements[i % 40][int(i < 40) :], np.uint32(i))) for i in range(80)]
+    rows = [(7, i, len(x), i) for i, x in enumerate(sets)]
+    members = spark.createDataFrame(rows, "bucket bigint, node bigint, n bigint, label bigint")
+    held = spark.createDataFrame([(i, bytearray(x.tobytes())) for i, x in enumerate(sets)], "node bigint, items binary")
+    for size in (4, 33, 1000):
+        monkeypatch.setattr(minhash_dedup, "MEMBERS", size)
+        links = minhash_dedup._across(members.drop("label"), members.select("node", "label"), held, "set", 0.8).collect()
+        assert {(min(r.a, r.b), max(r.a, r.b)) for r in links} == {(i, i + 40) for i in range(40)}
+
+
 def test_near_duplicates_of_the_table(spark, texts):
     out = queries.op8_minhash_dedup(spark, SF).collect()
     assert {r.doc_id: r.class_id for r in out} == _near_classes({i: r.text for i, r in texts.items()})
