@@ -479,6 +479,14 @@ def test_quality(documents):  # noqa: F811
 # ---- pipeline -------------------------------------------------------------------
 
 
+def test_near_dedup_stage_keeps_one_of_a_large_family(spark, documents):  # noqa: F811
+    texts = _star("p", 400, 9)
+    docs = documents([(i, t, "en", "a") for i, t in enumerate(texts)], extra=False)
+    want = set(_near_classes(dict(enumerate(texts))).values())
+    assert len(want) == 1
+    assert {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, SF).collect()} == want
+
+
 def test_pipeline(spark, texts):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     kept = docs
