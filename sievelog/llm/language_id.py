@@ -1,7 +1,8 @@
 """Language identification by compression with a dictionary of each language.
 
 A language is a zstandard raw-content dictionary: the text of a bounded sample of its
-labelled documents, in lower case and with one space for all that is no letter. A document
+labelled documents, in lower case and with one space for all that is no letter, filled up in
+front to the length of the longest. A document
 is made plain in the same way and cut into blocks, every block is compressed with every
 dictionary, and the language with the fewest bytes over all blocks wins. Its lead over the
 second is the margin; a narrow one rejects the document.
@@ -28,6 +29,10 @@ DICTIONARY_BYTES = 110_000
 BLOCK = 4_096
 CARRIER = b"0" * 64
 LEVEL = 6
+#: Stands before the text of a language that has less than the others; no plain text holds it.
+FILLER = b"\0"
+#: Bytes below which zstandard takes no dictionary.
+LEAST = 8
 #: A lead below this share of the second size rejects; 0.002 is two bytes in a thousand.
 MARGIN = 0.002
 UNKNOWN = "und"
@@ -73,8 +78,8 @@ def fit(labelled: DataFrame, text_col="text", lang_col="lang") -> LanguageModel:
         texts.setdefault(row["lang"], []).append((row["n"], row["text"]))
     languages = tuple(sorted(texts))
     bodies = [b"".join(plain_letters(t) for _, t in sorted(texts[x])) for x in languages]
-    size = min([DICTIONARY_BYTES, *map(len, bodies)])  # alike, so that none wins by its size
-    return LanguageModel(languages, tuple(b[:size] for b in bodies))
+    size = min(DICTIONARY_BYTES, max([LEAST, *map(len, bodies)]))  # alike, so that none wins by its size
+    return LanguageModel(languages, tuple(b[:size].rjust(size, FILLER) for b in bodies))
 
 
 class Classifier:
@@ -85,7 +90,7 @@ class Classifier:
         self.languages = model.languages
         self.coders = []
         for body in model.dictionaries:
-            if len(body) < 8:
+            if len(body) < LEAST:
                 self.coders.append(zstandard.ZstdCompressor(**plain))
                 continue
             kept = zstandard.ZstdCompressionDict(body, dict_type=zstandard.DICT_TYPE_RAWCONTENT)

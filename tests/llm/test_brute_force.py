@@ -48,6 +48,21 @@ def test_languages_of_held_out_documents(spark, texts):
     assert all(0 <= r.score <= 1 for r in out)
 
 
+@pytest.mark.parametrize("length", [3, 20, 300])
+def test_a_language_of_one_short_row_shortens_no_other(spark, texts, length):
+    rows = [(r.text, r.lang) for i, r in texts.items() if i % 2]
+    fitted = lambda more: language_id.fit(spark.createDataFrame(rows + more, "text string, lang string"))
+    short = ("qzu vwx kjy " * 30)[:length]
+    alone, model = fitted([]), fitted([(short, "xx")])
+    bodies = dict(zip(model.languages, model.dictionaries))
+    assert bodies["xx"].lstrip(b"\0") == language_id.plain_letters(short)
+    assert len({len(b) for b in model.dictionaries}) == 1
+    assert all(bodies[x] == b for x, b in zip(alone.languages, alone.dictionaries))
+    judges = [language_id.Classifier(m) for m in (alone, model)]
+    right = [sum(j.predict(r.text)[::2] == (r.lang, True) for i, r in texts.items() if not i % 2) for j in judges]
+    assert right[1] >= 0.99 * right[0] > 0
+
+
 def test_narrow_margins_reject():
     model = language_id.LanguageModel(("aa", "bb"), (b"these words stand here often " * 20, b"these words stand here often " * 20))
     judge = language_id.Classifier(model)
