@@ -330,7 +330,8 @@ def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text", weights="
     """A row per row of ``docs``: doc_id, text_hash, class_id, class_size, n_links, kept.
 
     ``class_id`` is the smallest id of the class, null ids last. ``n_links`` counts the
-    verified links of the row's distinct set. Texts without words, null ones too, stand
+    verified links of the row's distinct set that built the class, not all sets as similar
+    as asked: members of one component are not paired. Texts without words, null ones too, stand
     alone; texts of fewer than ``words`` words have one shingle. Rows that repeat an id and
     a text are in one class; of a class, one row (id and text) is kept, however often it
     is repeated. Empty in, empty out.
