@@ -2,9 +2,11 @@
 
 from pyspark.sql import functions as F
 
-from sievelog.llm import chat_format, language_id, secret_scan, sentencepiece_codec, toxicity
+from sievelog.llm import bpe_codec, chat_format, language_id, secret_scan, sentencepiece_codec, toxicity
 from sievelog.llm.common import held_out, materialise, table
 from sievelog.llm.exact_dedup import exact_duplicates
+from sievelog.llm.fill_in_middle import fill_in_middle, restored_text
+from sievelog.llm.filter_audit import filter_audit
 from sievelog.llm.minhash_dedup import near_duplicates
 from sievelog.llm.mixing import mix_sources
 from sievelog.llm.passage_dedup import remove_repeats
@@ -193,6 +195,82 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, f1 O
 FROM f JOIN o ON f.source IS NOT DISTINCT FROM o.source"""
 
 
+# ---- fill in the middle -----------------------------------------------------------
+
+
+def op11_fill_in_middle(spark, sf):
+    cut = fill_in_middle(table(spark, sf, "documents"))
+    digest = lambda text: F.sha2(text.cast("binary"), 256)
+    return cut.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        digest(F.col("output")).alias("output_sha256"),
+        digest(restored_text(F.col("output"), F.col("form"))).alias("restored_sha256"),
+    )
+
+
+OP11_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS s FROM documents),
+h AS (SELECT *, length(t) AS n, ('0x' || s[1:8])::BIGINT AS h1, ('0x' || s[9:16])::BIGINT AS h2,
+             ('0x' || s[17:24])::BIGINT AS h3, ('0x' || s[25:32])::BIGINT AS h4 FROM d),
+f AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+             CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+                  WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (SELECT *, substring(t, 1, a) AS pre, substring(t, a + 1, b - a) AS mid, substring(t, b + 1) AS suf FROM f)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                        ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(t) AS restored_sha256 FROM p"""
+
+# ---- byte-level BPE ---------------------------------------------------------------
+
+
+def op12_bpe(spark, sf):
+    vocabulary = bpe_codec.load_vocabulary(spark)
+    coded = bpe_codec.encode_documents(table(spark, sf, "documents"), vocabulary)
+    listed = F.array_join(F.col("ids").cast("array<string>"), ",")
+    coded = coded.withColumn("ids_sha256", F.sha2(listed.cast("binary"), 256))
+    return bpe_codec.decode_documents(coded, vocabulary).select(
+        "doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256")
+    )
+
+
+# ---- filter interaction -----------------------------------------------------------
+
+
+def op13_filter_audit(spark, sf):
+    return filter_audit(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+OP13_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w, min(doc_id) OVER (PARTITION BY t) AS least_id FROM d),
+l AS (SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic FROM labels GROUP BY doc_id),
+f AS (SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+             (len(w) < 50)::INT + 2 * (100 * len(list_distinct(w)) < 65 * len(w))::INT
+             + 4 * (100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > 5 * length(t))::INT
+             + 8 * regexp_matches(t, '[#$%&*|]')::INT + 16 * coalesce(least_id < doc_id, false)::INT AS bits
+      FROM w LEFT JOIN l USING (doc_id)),
+c AS (SELECT part, good, toxic, bits, count(*) AS n FROM f GROUP BY ALL),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l),
+o AS (SELECT a.l || b.l || c.l || d.l || e.l AS filter_order FROM x a, x b, x c, x d, x e
+      WHERE len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5),
+s AS (SELECT filter_order, step, 1 << (instr('ABCDE', filter_order[step]) - 1) AS here,
+             list_sum(list_transform(range(1, step), lambda i: 1 << (instr('ABCDE', filter_order[i]) - 1))) AS before
+      FROM o, (SELECT unnest(range(1, 6)) AS step)),
+r AS (SELECT part, filter_order, step, here,
+             sum(n) FILTER (bits & here = 0 AND bits & coalesce(before, 0)::INT = 0) AS kept,
+             sum(n) FILTER (bits & here > 0 AND bits & coalesce(before, 0)::INT = 0) AS removed,
+             sum(n) FILTER (bits & here > 0 AND bits & coalesce(before, 0)::INT > 0) AS redundant,
+             sum(n) FILTER (bits = here) AS unique_fails,
+             sum(n) FILTER (good AND bits & here > 0 AND bits & coalesce(before, 0)::INT = 0) AS good_lost,
+             sum(n) FILTER (toxic AND bits & here > 0 AND bits & coalesce(before, 0)::INT = 0) AS toxic_lost
+      FROM c, s GROUP BY ALL)
+SELECT part, filter_order, step::INT AS step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+       coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+       coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+       coalesce(sum(removed) OVER (PARTITION BY part, here), 0)::BIGINT AS shapley FROM r"""
+
+
 QUERIES = {
     "op1_language_id": (op1_language_id, None),
     "op2_mix_sources": (op2_mix_sources, OP2_SQL),
@@ -204,4 +282,7 @@ QUERIES = {
     "op8_minhash_dedup": (op8_minhash_dedup, None),
     "op9_secret_scan": (op9_secret_scan, _op9_sql()),
     "op10_quality_rules": (op10_quality_rules, OP10_SQL),
+    "op11_fill_in_middle": (op11_fill_in_middle, OP11_SQL),
+    "op12_bpe": (op12_bpe, None),
+    "op13_filter_audit": (op13_filter_audit, OP13_SQL),
 }
