@@ -1,13 +1,16 @@
 """Toxicity by a logistic model over words that is regularised with counterfactuals.
 
-The model is fitted on a bounded sample of labelled documents. For each that names a
-group, a twin is made in which every identity term is swapped for another term of its
-group; besides the usual loss the fit pays for the square of the difference between the
-scores of a document and its twin, so a neutral mention of a group moves no score.
+The model is fitted on a bounded sample of labelled documents. Each gives counterfactual
+pairs. Where it names a group, every identity term is swapped for another of its group;
+where it names none, a term is put in at a place chosen by a hash, and that text is paired
+with the one that has another term there and with the text as it was. Besides the usual
+loss the fit pays for the square of the difference between the scores of a pair, so a
+neutral mention of a group moves no score, whether or not the labelled texts name groups.
 """
 
 import re
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -38,10 +41,13 @@ STEMS = (4, 6)
 LEAST_SHARE = 0.0015
 RIDGE = 4.0
 FAIRNESS = 50.0
+#: What one mention of a group, added to any text, may move its score by, at most.
+MENTION_BOUND = 0.01
 STEPS = 120
 #: Times a toxic document counts in the fit.
 TOXIC_WEIGHT = 6.0
 
+_TERMS = sorted(SWAP)
 _WORD = re.compile(r"\w+")
 
 
@@ -59,6 +65,20 @@ def twin(words: set[str], pick: int) -> set[str]:
     return {SWAP[w][pick % len(SWAP[w])] if w in SWAP else w for w in words}
 
 
+def pairs_of(words: set[str]) -> list[tuple[set[str], set[str]]]:
+    """The counterfactual pairs of a text: two sets of words each.
+
+    A model over sets of words does not see at which place a term is put in, so only the
+    term is drawn, by a hash of the text's words.
+    """
+    if not SWAP.keys().isdisjoint(words):
+        return [(words, twin(words, len(words)))]
+    draw = crc32(" ".join(sorted(words)).encode())
+    term = _TERMS[draw % len(_TERMS)]
+    other = SWAP[term][draw // len(_TERMS) % len(SWAP[term])]
+    return [(words | {term}, words | {other}), (words | {term}, words)]
+
+
 def training_rows(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", label_col="toxic",
                   rows=TRAIN_ROWS) -> DataFrame:
     """label and words of at most about ``rows`` labelled documents, chosen by a hash of the id.
@@ -85,34 +105,46 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col=
 
 def fit(sample: DataFrame) -> tuple[dict[str, float], float]:
     """Weight of each known word, and the intercept; an empty or one-sided sample scores by its share."""
+    return fit_with_pairs(sample)[:2]
+
+
+def fit_with_pairs(sample: DataFrame) -> tuple[dict[str, float], float, int]:
+    """:func:`fit`, and the number of counterfactual pairs that held the fit down."""
     n_pos, n = sample.agg(F.coalesce(F.sum("label"), F.lit(0)), F.count("*")).first()
     if n_pos in (0, n):
-        return {}, float(np.log((n_pos + 0.5) / (n - n_pos + 0.5)))
+        return {}, float(np.log((n_pos + 0.5) / (n - n_pos + 0.5))), 0
     marked = F.concat("words", *[F.array_distinct(F.transform(F.filter("words", _longer(k)), _stem(k))) for k in STEMS])
     held = sample.select(F.explode(marked).alias("word")).groupBy("word").count()
     held = held.where(F.col("count") >= max(3, n * LEAST_SHARE)).orderBy(F.desc("count"), "word").limit(VOCABULARY)
-    vocabulary = list(dict.fromkeys([r["word"] for r in held.collect()] + list(SWAP)))
+    # Up to VOCABULARY words, and the terms with their beginnings.
+    vocabulary = list(dict.fromkeys([r["word"] for r in held.collect()] + sorted(features(set(SWAP)))))
     at = {w: i for i, w in enumerate(vocabulary)}
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [set(r) for r in batch.column(1).to_pylist()]
-            own = [numbers(r) for r in rows]
-            other = [None if SWAP.keys().isdisjoint(r) else numbers(twin(r, len(r))) for r in rows]
+            # Of a pair only the features that differ count.
+            apart = [[numbers(x - y) for a, b in pairs_of(r) for x, y in _both(features(a), features(b))] for r in rows]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(own, pa.binary()), pa.array(other, pa.binary())], names=["label", "own", "other"]
+                [batch.column(0), pa.array([numbers(features(r)) for r in rows], pa.binary()), pa.array(apart, pa.list_(pa.binary()))],
+                names=["label", "own", "apart"],
             )
 
-    def numbers(words: set[str]) -> bytes:
-        return np.array(sorted(at[w] for w in features(words) if w in at), dtype=np.int32).tobytes()
+    def numbers(found: set[str]) -> bytes:
+        return np.array(sorted(at[w] for w in found if w in at), dtype=np.int32).tobytes()
 
-    rows = sample.mapInArrow(index, "label int, own binary, other binary").collect()  # TRAIN_ROWS rows of word numbers
+    # TRAIN_ROWS rows of word numbers
+    rows = sample.mapInArrow(index, "label int, own binary, apart array<binary>").collect()
     rows.sort(key=lambda r: (bytes(r["own"]), r["label"]))
     y = np.array([r["label"] for r in rows], dtype=float)
     own = [np.frombuffer(r["own"], np.int32) for r in rows]
-    twins = [(i, np.frombuffer(r["other"], np.int32)) for i, r in enumerate(rows) if r["other"] is not None]
-    weights, bias = _descend(own, y, twins, len(vocabulary))
-    return {w: float(weights[i]) for w, i in at.items() if weights[i]}, float(bias)
+    apart = [np.frombuffer(x, np.int32) for r in rows for x in r["apart"]]
+    weights, bias = _descend(own, y, apart[::2], apart[1::2], len(vocabulary))
+    return {w: float(weights[i]) for w, i in at.items() if weights[i]}, float(bias), len(apart) // 2
+
+
+def _both(a, b):
+    return (a, b), (b, a)
 
 
 def _longer(k: int):
@@ -138,26 +170,21 @@ class _Rows:
         return np.bincount(self.columns, weights=r[self.row], minlength=width)
 
 
-def _descend(own, y, twins, width):
-    """Logistic loss + ridge + FAIRNESS * squared difference to the twin, by Adam on all rows.
+def _descend(own, y, left, right, width):
+    """Logistic loss + ridge + FAIRNESS * squared difference of each pair, by Adam on all rows.
 
-    No weight is below zero: in a long text no number of harmless words excuses an insult.
+    ``left`` and ``right`` hold the features that only one side of a pair has. No weight is
+    below zero: in a long text no number of harmless words excuses an insult.
     """
-    x, t = _Rows(own), _Rows([o for _, o in twins])
-    of = np.array([i for i, _ in twins], dtype=np.int64)
+    x, a, b_ = _Rows(own), _Rows(left), _Rows(right)
     weight = np.where(y > 0, TOXIC_WEIGHT, 1.0)
     w, b = np.zeros(width), float(np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5)))
     m, v = np.zeros(width + 1), np.zeros(width + 1)
     for step in range(1, STEPS + 1):
         z = x.times(w) + b
         r = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) * weight
-        if len(of):
-            gap = FAIRNESS * 2 * ((z - b)[of] - t.times(w))
-            r_own = r.copy()
-            np.add.at(r_own, of, gap)
-            g = x.back(r_own, width) - t.back(gap, width)
-        else:
-            g = x.back(r, width)
+        gap = FAIRNESS * 2 * (a.times(w) - b_.times(w))
+        g = x.back(r, width) + a.back(gap, width) - b_.back(gap, width)
         g = np.append(g + RIDGE * w, r.sum())
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         move = 0.1 * min(1, 4 * (1 - step / STEPS) + 0.02) * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)

@@ -11,7 +11,7 @@ from odd_documents import ODD, documents  # noqa: F401
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from sievelog.llm import bpe_codec, fill_in_middle, filter_audit, queries
+from sievelog.llm import bpe_codec, exact_dedup, fill_in_middle, filter_audit, queries, toxicity
 
 SF = "/root/testdata/sf0.001"
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -235,3 +235,51 @@ def test_audit_of_an_empty_table(spark, documents):  # noqa: F811
     labels = spark.createDataFrame([], "doc_id BIGINT, quality INT, toxic INT")
     assert filter_audit.filter_audit(documents(ODD).where("false"), labels).count() == 0
     assert filter_audit.filter_audit(documents(ODD), labels).agg(F.sum("good_lost") + F.sum("toxic_lost")).first()[0] == 0
+
+
+# ---- exact duplicates: groups are those of the index ------------------------------
+
+
+def expected_groups(rows):
+    out = {}
+    for doc_id, text, *_ in rows:
+        out.setdefault(exact_dedup.normalised(text or ""), []).append(doc_id)
+    return {doc_id: (min((i for i in ids if i is not None), default=None), len(ids)) for ids in out.values() for doc_id in ids if doc_id is not None}
+
+
+@pytest.mark.parametrize("seen", [0, 64 << 20])
+def test_colliding_digests_keep_texts_apart(spark, documents, monkeypatch, seen):  # noqa: F811
+    monkeypatch.setattr(exact_dedup, "SEEN_BYTES", seen)
+    rows = ODD + [(100 + i, f"text {i % 9}", "en", "a") for i in range(60)]
+    digest = lambda body: hashlib.sha256(body[:1]).digest()
+    out = exact_dedup.exact_duplicates(documents(rows), digest=digest).collect()
+    assert len(out) == len(rows) and max(r.chain for r in out) >= 8
+    assert {r.doc_id: (r.keep_id, r.group_size) for r in out if r.doc_id is not None} == expected_groups(rows)
+    assert sum(r.kept for r in out) == len({exact_dedup.normalised(r[1] or "") for r in rows})
+
+
+def test_the_index_decides(spark, documents, monkeypatch):  # noqa: F811
+    rows = [(i, f"text {i % 3}", "en", "a") for i in range(12)]
+    plain = exact_dedup.build_index
+    monkeypatch.setattr(exact_dedup, "build_index", lambda *a, **k: plain(*a, **k).withColumns({"bucket": F.lit(""), "key": F.lit(0), "chain": F.lit(0)}))
+    out = exact_dedup.exact_duplicates(documents(rows)).collect()
+    assert {(r.keep_id, r.group_size) for r in out} == {(0, 12)}
+
+
+# ---- toxicity: pairs of mentions --------------------------------------------------
+
+
+def test_neutral_mentions_move_no_score(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    sample = toxicity.training_rows(docs, labels)
+    weights, bias, pairs = toxicity.fit_with_pairs(sample)
+    assert pairs >= sample.count() > 0 and toxicity.fit(sample) == (weights, bias)
+    mentions = [t for group in toxicity.IDENTITY_TERMS for t in group]
+    scores = lambda add: {r.doc_id: r.score for r in toxicity.score(
+        docs.withColumn("text", F.concat("text", F.lit(f" {add}"))), weights, bias).collect()}
+    plain = scores("")
+    for term in (*mentions[::9], " ".join(mentions[:6])):
+        moved = scores(term)
+        assert max(abs(moved[i] - plain[i]) for i in plain) < toxicity.MENTION_BOUND, term
+    assert all(0.25 * sum(weights.get(f, 0.0) for f in toxicity.features({t})) < toxicity.MENTION_BOUND for t in mentions)
