@@ -26,7 +26,9 @@ DIRECTORY_BITS = 16
 #: Distinct keys a bucket may hold before it splits.
 BUCKET_CAPACITY = 50_000
 #: Compressed bytes of texts that a scanning task remembers, to send a text once.
-SEEN_BYTES = 64 << 20
+SEEN_BYTES = 8 << 20
+#: Rows that a task holds as Python objects at once.
+ROWS = 512
 
 _ENTRY = "doc_id bigint, key bigint, text_no bigint, sha binary, n_bytes bigint, payload binary"
 _LINK = "bucket string, key bigint, text_no bigint, chain int"
@@ -56,7 +58,7 @@ def build_entries(docs: DataFrame, id_col="doc_id", text_col="text", key_bits=64
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze, seen, held = zstandard.ZstdCompressor(level=1), {}, 0
         number = TaskContext.get().partitionId() << 40
-        for batch in batches:
+        for batch in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
             keys, numbers, shas, sizes, payloads = [], [], [], [], []
             for text in batch.column(1).to_pylist():
                 body = normalised(text)
@@ -122,7 +124,7 @@ def build_directory(entries: DataFrame, capacity=BUCKET_CAPACITY) -> DataFrame:
 def _own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Buckets sorted by key: the place of every text in the chain of its key, by comparing bytes."""
     opened, at, chain = zstandard.ZstdDecompressor(), None, []
-    for batch in batches:
+    for batch in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
         rows = []
         for bucket, key, text_no, payload in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             body = opened.decompress(payload)
