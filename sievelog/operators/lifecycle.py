@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 from sievelog.functions.text import strip_blank
 from sievelog.schema import LOG_COLUMNS
-from sievelog.sources.batches import claim, highest_id, names, record_top
+from sievelog.sources.batches import claim, digest_of, highest_id, names, record_top
 from sievelog.sources.csv_logs import REJECT_COLUMNS, fill_defaults, with_times, write_batch
 from sievelog.sources.tables import live_rows, open_batches, open_logs
 
@@ -69,13 +69,16 @@ def append_logs(
     batch_id: int | None = None,
     now: Column | None = None,
     zone: str = "UTC",
-    source: str = "records",
+    source: str | None = None,
 ) -> DataFrame:
     """Add records as the next free batch and return them as stored.
 
-    ``batch_id`` names a batch of the same ``source`` to run again. What is stored is the
-    one version of the new ids: build postings from it, not from ``records``.
+    ``batch_id`` names a batch of the same ``source`` to run again; without a name the
+    records themselves are the source, so other records under that number raise. What is
+    stored is the one version of the new ids: build postings from it, not from ``records``.
     """
+    if source is None:
+        source = "records" if batch_id is None else f"records, {digest_of(records)}"
     batch_id = claim(spark, table, source, batch_id)
     rows = with_free_ids(spark, with_defaults(records, now, zone), table, batch_id)
     none = F.lit(None).cast("string")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from sievelog.functions.text import contains_text, has_glob, has_prefix, has_token, same_text
 from sievelog.functions.timestamps import bound_ms, day_of, resolve_bounds
 from sievelog.operators.analytics import time_extent
+from sievelog.session import materialise
 
 
 def in_time_order(logs: DataFrame, deal: bool = True) -> DataFrame:
@@ -55,7 +56,8 @@ def first_per_id(logs: DataFrame) -> DataFrame:
 
     Ids are counted alone first, without a row's text. Only rows of ids met more than
     once are compared, by a minimum over a struct: copies of one id collapse before the
-    shuffle, where a ranking window would bring all of them into one task.
+    shuffle, where a ranking window would bring all of them into one task. ``logs`` is read
+    several times, so searches store their hits first.
     """
     order = ["epoch_ms", "service", "level", "message"]
     rest = [c for c in logs.columns if c not in order and c != "log_id"]
@@ -74,13 +76,13 @@ def search_exact(logs: DataFrame, word: str) -> DataFrame:
 def search_prefix(logs: DataFrame, prefix: str, unique_ids: bool = True) -> DataFrame:
     """Rows with a token starting with ``prefix``; ``unique_ids=False`` keeps one per id."""
     hits = logs.where(has_prefix(prefix))
-    return hits if unique_ids else first_per_id(hits)
+    return hits if unique_ids else first_per_id(materialise(hits, "hits"))
 
 
 def search_wildcard(logs: DataFrame, pattern: str, unique_ids: bool = True) -> DataFrame:
     """Rows with a whole token matching ``pattern``; ``unique_ids=False`` keeps one per id."""
     hits = logs.where(has_glob(pattern))
-    return hits if unique_ids else first_per_id(hits)
+    return hits if unique_ids else first_per_id(materialise(hits, "hits"))
 
 
 def search_time_range(logs: DataFrame, start_ms: int, end_ms: int, deal: bool = True) -> DataFrame:
@@ -135,7 +137,7 @@ def matching(
     text = text_condition(keyword, prefix, wildcard)
     rows = logs if text is None else logs.where(text)
     if text is not None and not keyword and not unique_ids:
-        rows = first_per_id(rows)
+        rows = first_per_id(materialise(rows, "hits"))
     if start_ms is not None:
         rows = rows.where(time_between(rows, start_ms, end_ms))
     return filter_service(filter_level(rows, level), service)

@@ -11,7 +11,7 @@ from sievelog.functions.keys import row_key, stretch
 from sievelog.functions.text import field_token, log_tokens, message_words, same_text, token_matches
 from sievelog.functions.timestamps import day_literal, day_of, log_date
 from sievelog.operators.search import matching
-from sievelog.sources.batches import names, write_mark
+from sievelog.sources.batches import claim, digest_of, names, write_mark
 from sievelog.sources.tables import live_rows
 
 HOUR_MS = 3_600_000
@@ -48,7 +48,7 @@ def build_postings(logs: DataFrame, index_fields: bool = True) -> DataFrame:
     found = rows.select(
         F.explode(tokens).alias("token"), "log_id", "row_key", "epoch_ms", "level", "service"
     )
-    return _tagged(found, index_fields)
+    return tagged(found, index_fields)
 
 
 def field_postings(logs: DataFrame) -> DataFrame:
@@ -58,7 +58,7 @@ def field_postings(logs: DataFrame) -> DataFrame:
     return rows.select(F.explode(fields).alias("token"), "log_id", "row_key", "epoch_ms", "level", "service")
 
 
-def _tagged(postings: DataFrame, index_fields: bool) -> DataFrame:
+def tagged(postings: DataFrame, index_fields: bool) -> DataFrame:
     """Note in the schema whether level and service are among the tokens."""
     return postings.withMetadata("token", {_TAG: index_fields})
 
@@ -94,10 +94,21 @@ def write_postings(postings: DataFrame, path: str, stretch_rows: int = 1 << 24)
 
 
 def append_postings(
-    batch: DataFrame, table: str, batch_id: int, index_fields: bool = True, stretch_rows: int = 1 << 24
+    batch: DataFrame,
+    table: str,
+    batch_id: int,
+    index_fields: bool = True,
+    stretch_rows: int = 1 << 24,
+    source: str | None = None,
 ) -> None:
-    """Postings of one batch of stored logs, in folders of their own that a repeat overwrites."""
+    """Postings of one batch of stored logs, in folders of their own.
+
+    A repeat by the same ``source`` overwrites them; a batch of another source, or one that
+    was there before, raises. Without a name the rows themselves are the source.
+    """
     rows = build_postings(batch, index_fields)
+    _mark_kind(rows, table)
+    claim(batch.sparkSession, table, source or digest_of(batch.drop("batch_id", "log_date")), batch_id)
     _write(_in_folders(rows, stretch_rows), rows, table, batch_id, "overwrite")
 
 
@@ -105,15 +116,39 @@ def _in_folders(postings: DataFrame, stretch_rows: int) -> DataFrame:
     return postings.withColumns({"head": token_head(F.col("token")), "_stretch": stretch(stretch_rows)})
 
 
-def _write(keyed: DataFrame, postings: DataFrame, path: str, batch_id: int, mode: str) -> None:
-    spark, path = postings.sparkSession, path.rstrip("/")
-    fields = has_fields(postings)
-    if names(spark, path) and f"_{_TAG}-{fields}" not in names(spark, path):
-        raise ValueError(f"{path} was not built with index_fields={fields}")
+def gathered_postings(postings: DataFrame, stretch_rows: int | None = 1 << 24) -> DataFrame:
+    """Postings by head, sorted by token and time within; to be written by head.
+
+    Without ``stretch_rows`` the rows bring their ``_stretch`` along.
+    """
+    if stretch_rows is not None:
+        return _sorted(_in_folders(postings, stretch_rows))
+    return _sorted(postings.withColumn("head", token_head(F.col("token"))))
+
+
+def _sorted(keyed: DataFrame) -> DataFrame:
     rows = keyed.hint("rebalance", "head", "_stretch").sortWithinPartitions("head", "token", "epoch_ms")
-    rows = rows.select(*POSTINGS_SCHEMA.names, "head")
-    rows.write.mode(mode).partitionBy("head").parquet(f"{path}/batch_id={batch_id}")
-    write_mark(spark, path, f"_{_TAG}-{fields}")
+    return rows.select(*POSTINGS_SCHEMA.names, "head")
+
+
+def _mark_kind(postings: DataFrame, path: str) -> None:
+    """Note at a new table whether level and service are among the tokens; a table of the other kind raises.
+
+    The note comes before the rows, so a call that breaks off leaves a table that can grow.
+    """
+    spark, fields = postings.sparkSession, has_fields(postings)
+    found = names(spark, path)
+    noted = f"_{_TAG}-{fields}"
+    if noted not in found:
+        if f"_{_TAG}-{not fields}" in found or any(n.startswith("batch_id=") for n in found):
+            raise ValueError(f"{path} was not built with index_fields={fields}")
+        write_mark(spark, path, noted)
+
+
+def _write(keyed: DataFrame, postings: DataFrame, path: str, batch_id: int, mode: str) -> None:
+    _mark_kind(postings, path)
+    rows = _sorted(keyed)
+    rows.write.mode(mode).partitionBy("head").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
 
 
 def open_postings(
@@ -124,7 +159,7 @@ def open_postings(
     rows = spark.read.schema(T.StructType([*POSTINGS_SCHEMA.fields, *more])).parquet(path)
     known = names(spark, path)
     built = [f for f in (True, False) if f"_{_TAG}-{f}" in known]
-    rows = _tagged(rows, built[0]) if built else rows
+    rows = tagged(rows, built[0]) if built else rows
     rows = rows if tombstones is None else live_rows(rows, tombstones)
     return rows if with_batch else rows.drop("batch_id")
 
@@ -156,8 +191,13 @@ def token_dictionary(postings: DataFrame) -> DataFrame:
     )
 
 
-def append_dictionary(postings: DataFrame, table: str, batch_id: int) -> None:
-    """The dictionary of one batch of postings, as a folder that a repeat overwrites."""
+def append_dictionary(postings: DataFrame, table: str, batch_id: int, source: str | None = None) -> None:
+    """The dictionary of one batch of postings, as a folder of its own.
+
+    A repeat by the same ``source`` overwrites it; a batch of another source, or one that was
+    there before, raises. Without a name the postings themselves are the source.
+    """
+    claim(postings.sparkSession, table, source or digest_of(postings), batch_id)
     rows = token_dictionary(postings).sortWithinPartitions("token")
     rows.write.mode("overwrite").parquet(f"{table.rstrip('/')}/batch_id={batch_id}")
 
@@ -201,7 +241,7 @@ def _postings_of(
     hits = postings.where(token_matches(F.col("token"), keyword, prefix, wildcard))
     if "head" in postings.columns:
         start = (keyword or prefix or wildcard.partition("*")[0]).lower()
-        hits = hits.where(_head_can_hold(start))
+        hits = hits.where(head_can_hold(start))
     if start_ms is not None:
         hits = hits.where(F.col("epoch_ms").between(start_ms, end_ms))
     for name, wanted in (("level", level), ("service", service)):
@@ -210,7 +250,7 @@ def _postings_of(
     return hits
 
 
-def _head_can_hold(start: str) -> Column:
+def head_can_hold(start: str) -> Column:
     """Partition filter: the folders with tokens that begin with ``start``."""
     if not start:
         return F.lit(True)

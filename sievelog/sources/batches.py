@@ -6,9 +6,12 @@ that owns a range of batches, and ``top-<batch>-<id>`` says by its name the high
 stored. They are listed, not read as data, so nothing here grows with the rows.
 """
 
+import os
 import re
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Batches of streams are number * _RANGE + micro-batch; those of single calls are below it.
 _RANGE = 1 << 32
@@ -32,22 +35,56 @@ def names(spark: SparkSession, folder: str) -> list[str]:
 
 
 def write_mark(spark: SparkSession, folder: str, name: str, text: str = "") -> bool:
-    """Create a small file; False if another call was first."""
+    """Create a small file with all its text at once; False if another call was first.
+
+    The text is written under a name of its own, which then becomes the mark's if that is
+    free: by a hard link on a local disk, else by a rename that replaces nothing. The latter
+    is atomic on HDFS and on stores whose rename is; on others give a table one writer at a
+    time. A crash in between leaves a file that nobody reads, never an empty mark.
+    """
     fs, at = _open(spark, f"{folder}/{name}")
+    if fs.exists(at):
+        return False
+    _, own = _open(spark, f"{folder}/.{name}-{uuid.uuid4().hex}")
+    out = fs.create(own, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    jvm = spark.sparkContext._jvm
+    if fs.getUri().getScheme() == "file":
+        try:
+            os.link(own.toUri().getPath(), at.toUri().getPath())
+            return True
+        except FileExistsError:
+            return False
+        finally:
+            fs.delete(own, False)
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.NONE
     try:
-        out = fs.create(at, False)
+        files.rename(own, at, options)
+        return True
     except Exception:
         if fs.exists(at):
+            fs.delete(own, False)
             return False
         raise
-    out.write(bytearray(text.encode()))
-    out.close()
-    return True
 
 
 def read_mark(spark: SparkSession, folder: str, name: str) -> str:
-    rows = spark.read.text(f"{folder}/{name}", wholetext=True).collect()  # one small file
-    return rows[0][0] if rows else ""
+    fs, at = _open(spark, f"{folder}/{name}")
+    file = fs.open(at)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(file, "UTF-8")
+    finally:
+        file.close()
+
+
+def digest_of(rows: DataFrame) -> str:
+    """Row count and sum of row hashes: tells whether a named batch is run again with the same rows."""
+    fields = F.struct(*[F.col(f"`{c}`") for c in rows.columns], *[F.isnull(f"`{c}`") for c in rows.columns])
+    n, total = rows.agg(F.count("*"), F.sum(F.xxhash64(fields).cast("decimal(38,0)"))).first()
+    return f"{n} rows, hash {total or 0}"
 
 
 def _folder(table: str) -> str:
@@ -104,14 +141,11 @@ def stream_id(spark: SparkSession, checkpoint: str) -> str:
 
 
 def record_top(spark: SparkSession, table: str, batch_id: int, top: int | None) -> None:
-    """Note the highest id of a batch that was just written."""
-    fs, _ = _open(spark, table)
-    folder = _folder(table)
-    name = f"top-{batch_id}-{'none' if top is None else top}"
-    for old in names(spark, folder):
-        if old.startswith(f"top-{batch_id}-") and old != name:
-            fs.delete(_open(spark, f"{folder}/{old}")[1], False)
-    write_mark(spark, folder, name)
+    """Note the highest id of a batch that was just written.
+
+    A batch that is run again may leave several notes; the highest counts. Nothing is listed.
+    """
+    write_mark(spark, _folder(table), f"top-{batch_id}-{'none' if top is None else top}")
 
 
 def highest_id(spark: SparkSession, table: str, skip: int | None = None) -> tuple[int | None, list[int]]:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from sievelog.functions.text import strip_blank
 from sievelog.functions.timestamps import format_epoch, parse_epoch_or_null
 from sievelog.schema import DEFAULT_LEVEL, DEFAULT_SERVICE, LOG_COLUMNS
-from sievelog.sources.batches import claim, record_top
+from sievelog.sources.batches import claim, digest_of, record_top
 
 CSV_FIELDS = ["LogID", "Timestamp", "Level", "Service", "Message"]
 REJECT_COLUMNS = ["file", "raw", "reason"]
@@ -37,9 +37,16 @@ def parse_csv(raw: DataFrame, zone: str = "UTC", on_bad_ts: str = "keep", defaul
         raise ValueError("on_bad_ts must be 'keep' or 'reject'")
     line = F.regexp_replace("value", "\\A\ufeff", "")
     quoted = F.contains(line, F.lit('"'))
+    # A quoted line is matched once and its fields are set apart by a character that it lacks.
+    apart = F.split(F.regexp_replace(line, _LINE, "\0".join(f"${i + 1}" for i in range(len(CSV_FIELDS)))), "\0", -1)
     fields = F.array(*[F.regexp_extract(line, _LINE, i + 1) for i in range(len(CSV_FIELDS))])
+    clash = F.contains(line, F.lit("\0"))
     # Six pieces at most: the sixth only says that there is more.
-    parts = F.when(quoted & line.rlike(_LINE), fields).when(~quoted, F.split(line, ",", 6))
+    parts = (
+        F.when(~quoted, F.split(line, ",", 6))
+        .when(~clash, apart)
+        .when(line.rlike(_LINE), fields)
+    )
     cut = raw.where(strip_blank(F.col("value")) != "").select(
         F.col("_metadata.file_path").alias("file"), line.alias("_raw"), F.coalesce(parts, F.array(line)).alias("_parts")
     )
@@ -138,21 +145,35 @@ def ingest_csv(
     """Read the files once into ``table`` and return the row counts of that pass.
 
     Accepted rows and rejects go into one write, as the next free batch. ``batch_id``
-    names a batch to run again: it is replaced if it came from the same paths, and
-    anything else raises.
+    names a batch to run again: it is replaced if it came from the same paths and these
+    still hold the same files, told by name, size and time; anything else raises.
     """
     source = "csv " + (paths if isinstance(paths, str) else " ".join(paths))
+    if batch_id is not None:
+        source += ", " + files_digest(spark, paths)
     parsed = parse_csv(read_csv_raw(spark, paths), zone, on_bad_ts)
     return write_batch(parsed, table, claim(spark, table, source, batch_id))
 
 
+def files_digest(spark: SparkSession, paths) -> str:
+    """Which files there are, by name, size and time; their content is not read."""
+    return digest_of(spark.read.format("binaryFile").load(paths).select("path", "length", "modificationTime"))
+
+
 def write_batch(parsed: DataFrame, table: str, batch_id: int) -> dict:
     """One claimed batch as a folder of its own, overwritten if the batch is run again.
 
     Rejects are told apart by a column, not a folder, which would sort every row. Returns
     the counts of the pass and notes the highest id.
     """
-    spark, seen, ok = parsed.sparkSession, Observation(), F.col("reason").isNull()
+    counts = write_observed(parsed, f"{table.rstrip('/')}/batch_id={batch_id}")
+    record_top(parsed.sparkSession, table, batch_id, counts.pop("top"))
+    return counts
+
+
+def write_observed(parsed: DataFrame, path: str) -> dict:
+    """Rows and rejects in one write that replaces ``path``; its counts and ``top``, the highest id."""
+    seen, ok = Observation(), F.col("reason").isNull()
     rows = parsed.observe(
         seen,
         F.count_if(ok).alias("accepted"),
@@ -160,7 +181,5 @@ def write_batch(parsed: DataFrame, table: str, batch_id: int) -> dict:
         F.count_if(ok & ~F.col("ts_valid")).alias("bad_timestamps"),
         F.max(F.when(ok, F.col("log_id"))).alias("top"),
     ).withColumn("rejected", F.col("reason").isNotNull())
-    rows.write.mode("overwrite").parquet(f"{table.rstrip('/')}/batch_id={batch_id}")
-    counts = dict(seen.get)
-    record_top(spark, table, batch_id, counts.pop("top"))
-    return counts
+    rows.write.mode("overwrite").parquet(path)
+    return dict(seen.get)

@@ -7,16 +7,17 @@ from pyspark.sql import types as T
 from sievelog.functions.keys import stretch
 from sievelog.functions.timestamps import log_date
 from sievelog.schema import LOG_COLUMNS, LOG_SCHEMA
+from sievelog.sources.batches import claim, digest_of
 from sievelog.sources.csv_logs import REJECT_COLUMNS
 
-_BATCH_SCHEMA = T.StructType(
+RAW_SCHEMA = T.StructType(
     [
         *LOG_SCHEMA.fields,
         *[T.StructField(c, T.StringType()) for c in REJECT_COLUMNS],
         T.StructField("rejected", T.BooleanType()),
-        T.StructField("batch_id", T.LongType()),
     ]
 )
+_BATCH_SCHEMA = T.StructType([*RAW_SCHEMA.fields, T.StructField("batch_id", T.LongType())])
 
 
 def open_batches(spark: SparkSession, table: str) -> DataFrame:
@@ -55,12 +56,20 @@ def write_clustered(
 
 
 def append_clustered(
-    logs: DataFrame, path: str, batch_id: int, slot_ms: int = 3_600_000, stretch_rows: int = 1 << 20
+    logs: DataFrame,
+    path: str,
+    batch_id: int,
+    slot_ms: int = 3_600_000,
+    stretch_rows: int = 1 << 20,
+    source: str | None = None,
 ) -> None:
     """Add one batch of stored logs to a clustered table; nothing that is there is read.
 
-    A repeat of the batch overwrites its folder.
+    A repeat by the same ``source`` overwrites the batch's folder; a batch of another source,
+    or one that was there before, raises. Without a name the rows themselves are the source,
+    which costs a pass over them.
     """
+    claim(logs.sparkSession, path, source or digest_of(logs.drop("batch_id", "log_date")), batch_id)
     rows = _gathered(_slots(logs.drop("batch_id"), slot_ms, stretch_rows), [])
     rows.write.mode("overwrite").partitionBy("log_date").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
 
@@ -85,6 +94,14 @@ def _slots(logs: DataFrame, slot_ms: int, stretch_rows: int | None) -> DataFrame
     return rows.withColumn("_stretch", stretch(stretch_rows) if stretch_rows else F.lit(0))
 
 
+def gathered_logs(logs: DataFrame, slot_ms: int = 3_600_000, stretch_rows: int | None = 1 << 20) -> DataFrame:
+    """Rows by day and time slot, sorted by time within, with their ``log_date``; to be written by day.
+
+    ``stretch_rows`` asks for stored ``logs``; give None after a join.
+    """
+    return _gathered(_slots(logs, slot_ms, stretch_rows), [])
+
+
 def _gathered(rows: DataFrame, first: list[str]) -> DataFrame:
     gathered = rows.hint("rebalance", *first, "log_date", "_slot", "_stretch")
     return gathered.sortWithinPartitions(*first, "log_date", "epoch_ms", "log_id").drop("_slot", "_stretch")
