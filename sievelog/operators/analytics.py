@@ -73,11 +73,11 @@ def error_windows(logs: DataFrame, window_ms: int = DEFAULT_WINDOW_MS) -> DataFr
     Windows without an error have no row. The anchor is a scalar subquery over one
     column, so no join is needed.
     """
-    _check_window(window_ms)
+    check_window(window_ms)
     return _count_windows(logs, _extent(logs).scalar().getField("lo"), window_ms)
 
 
-def _check_window(window_ms: int) -> None:
+def check_window(window_ms: int) -> None:
     if window_ms <= 0:
         raise ValueError("window_ms must be positive")
 
@@ -133,17 +133,33 @@ def detect_anomalies(
     the extent and once for the windows, which are written out because both results
     need them.
     """
-    _check_window(window_ms)
+    check_window(window_ms)
     logs = logs.where("ts_valid") if valid_only else logs
     extent = _extent(logs).first()["extent"]
-    lo, hi = (F.lit(extent[f]).cast("bigint") for f in ("lo", "hi"))
-    counted = _count_windows(logs, lo, window_ms)
+    counted = _count_windows(logs, F.lit(extent["lo"]).cast("bigint"), window_ms)
+    return _scored(counted, extent["lo"], extent["hi"], extent["rows"], z, window_ms)
+
+
+def anomalies_from_counts(
+    error_times: DataFrame, lo: int | None, hi: int | None, rows: int, z: float = DEFAULT_Z, window_ms: int = DEFAULT_WINDOW_MS
+) -> tuple[DataFrame, DataFrame]:
+    """:func:`detect_anomalies` from errors per ``epoch_ms`` and the table's ends and row count."""
+    check_window(window_ms)
+    anchor = F.lit(lo).cast("bigint")
+    bucket = F.expr(f"(epoch_ms - _lo) div {int(window_ms)}L").alias("bucket")
+    counted = error_times.withColumn("_lo", anchor).select(bucket, "errors").groupBy("bucket").agg(F.sum("errors").alias("errors"))
+    counted = counted.where("errors > 0").select("bucket", *_window_bounds(anchor, window_ms), "errors")
+    return _scored(counted, lo, hi, rows, z, window_ms)
+
+
+def _scored(counted: DataFrame, lo, hi, rows, z: float, window_ms: int) -> tuple[DataFrame, DataFrame]:
+    lo, hi = (F.lit(v).cast("bigint") for v in (lo, hi))
     windows = materialise(counted, "error-windows")
-    whole = F.struct(lo.alias("lo"), hi.alias("hi"), F.lit(extent["rows"]).alias("rows"))
+    whole = F.struct(lo.alias("lo"), hi.alias("hi"), F.lit(rows).alias("rows"))
     baseline = _baseline(windows, whole, window_ms)
     if z <= 0:
         # Only now can an empty window qualify.
-        spine = logs.sparkSession.range(baseline.first()["num_windows"] or 0)
+        spine = counted.sparkSession.range(baseline.first()["num_windows"] or 0)
         spine = spine.withColumnRenamed("id", "bucket")
         filled = spine.join(windows.select("bucket", "errors"), "bucket", "left")
         windows = filled.select(

@@ -12,3 +12,4 @@ from sievelog.plans.postings import (
     token_dictionary,
     write_postings,
 )
+from sievelog.plans.store import Store, create_store, open_store
