@@ -358,10 +358,10 @@ def stream_ingest(spark, sf):
     return shown(sl.open_logs(spark, table))
 
 
-def _event_stream(spark, sf) -> DataFrame:
+def _event_stream(spark, sf, part=F.lit(True)) -> DataFrame:
     """Events as a file stream, closed by one row far in the future."""
     source = sl.scratch_path(spark, "event-stream")
-    logs = events(spark, sf)
+    logs = events(spark, sf).where(part)
     last = logs.orderBy(F.desc("epoch_ms")).limit(1)
     end = last.withColumn("epoch_ms", F.col("epoch_ms") + 10 * 86_400_000)
     end = end.withColumn("ts", F.timestamp_millis("epoch_ms"))
@@ -427,16 +427,17 @@ def compact_keeps_rejects(spark, sf):
 
 
 def csv_long_lines(spark, sf):
-    """Every event with 50,000 commas, in quotes, in the message or after it."""
+    """Every event with commas, 50,000 in every twentieth, in quotes, in the message or after it."""
     path = sl.scratch_path(spark, "long")
-    n, commas = F.col("log_id"), F.repeat(F.lit(","), F.lit(50_000))
+    n = F.col("log_id")
+    commas = F.repeat(F.lit(","), F.when(n % 20 == 0, 50_000).otherwise(50))
     head = F.concat_ws(",", n.cast("string"), "timestamp", "level", "service")
     line = (
         F.when(n % 3 == 0, F.concat(head, F.lit(',"a'), commas, F.lit('"')))
         .when(n % 3 == 1, F.concat(head, F.lit(",b"), commas))
         .otherwise(F.concat(head, F.lit(',"c ""q"""'), commas, F.lit('"x"')))
     )
-    events(spark, sf).where("log_id % 20 = 0").select(line.alias("value")).write.text(path)
+    events(spark, sf).select(line.alias("value")).write.text(path)
     logs, _ = sl.read_logs_csv(spark, path)
     return logs.select("log_id", F.length("message").alias("chars"), F.left("message", F.lit(5)).alias("begin"))
 
@@ -519,7 +520,7 @@ def batch_search_plans(spark, sf):
 def zoned_times(spark, sf):
     """Wall clocks of New York read, filled in and searched, in a session of another zone."""
     zone, session = "America/New_York", spark.conf.get("spark.sql.session.timeZone")
-    raw = events(spark, sf).where("log_id % 2 = 0").select("log_id", "timestamp", "level", "service", "message")
+    raw = events(spark, sf).select("log_id", "timestamp", "level", "service", "message")
     raw = raw.withColumn("timestamp", F.when(F.col("log_id") % 4 != 0, F.col("timestamp")))
     spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
     try:
@@ -535,6 +536,113 @@ def zoned_times(spark, sf):
         spark.conf.set("spark.sql.session.timeZone", session)
 
 
+# ---- a store: one call for all tables ---------------------------------------------
+
+
+def _raw_events(spark, sf) -> DataFrame:
+    return events(spark, sf).select("log_id", "timestamp", "level", "service", "message")
+
+
+def store_after_two_batches(spark, sf):
+    """Even events by a call, a deletion, odd events by a stream; rows of every table."""
+    store = sl.create_store(spark, sl.scratch_path(spark, "store"))
+    store.append(_raw_events(spark, sf).where("log_id % 2 = 0"))
+    store.delete(_ids_to_delete(spark, sf))
+    source = sl.scratch_path(spark, "arriving")
+    sl.write_csv(events(spark, sf).where("log_id % 2 = 1"), source)
+    store.start_ingest(streaming.stream_logs_csv(spark, source), sl.scratch_path(spark, "store-state"), **AVAILABLE).awaitTermination()
+    store = sl.open_store(spark, store.path)
+    rows = [
+        store.logs().groupBy(F.lit("logs").alias("kind"), F.concat_ws("/", "service", "level").alias("name")).agg(F.count("*").alias("n")),
+        store.postings().groupBy(F.lit("postings").alias("kind"), F.col("token").alias("name")).agg(F.count("*").alias("n")),
+        store.dictionary().select(F.lit("dictionary").alias("kind"), F.col("token").alias("name"), F.col("df").alias("n")),
+        store.raw().agg(F.lit("raw").alias("kind"), F.lit("").alias("name"), F.count("*").alias("n")),
+    ]
+    return reduce(DataFrame.unionByName, rows)
+
+
+def _store_with_deletions(spark, sf):
+    store = sl.create_store(spark, sl.scratch_path(spark, "store"), index_fields=False)
+    for batch in (0, 1):
+        store.append(_raw_events(spark, sf).where(F.col("log_id") % 2 == batch))
+    store.delete(_ids_to_delete(spark, sf))
+    return store
+
+
+def windows_after_delete(spark, sf):
+    alerts, _ = _store_with_deletions(spark, sf).anomalies()
+    return alerts.select("bucket", "start_ms", "end_ms", "errors", F.round("z", 6).alias("z"))
+
+
+def dictionary_after_delete(spark, sf):
+    days = _store_with_deletions(spark, sf).dictionary()
+    return days.select("token", "df", *[F.col(c).cast("string").alias(c) for c in ("first_day", "last_day")])
+
+
+def search_two_words(spark, sf):
+    return shown(_store_with_deletions(spark, sf).search(words=["error", "click"], service="payment"))
+
+
+def _refused(append) -> None:
+    try:
+        append()
+    except ValueError:
+        return
+    raise AssertionError("a batch of another source was replaced")
+
+
+def append_clustered_again(spark, sf):
+    """Other rows under a number that is taken are refused; under the next one they are added."""
+    logs, path = events(spark, sf), sl.scratch_path(spark, "clustered")
+    sl.write_clustered(logs.where("log_id % 2 = 0"), path)
+    odd = logs.where("log_id % 2 = 1")
+    _refused(lambda: sl.append_clustered(odd, path, 0))
+    sl.append_clustered(odd, path, 1)
+    return shown(sl.open_clustered(spark, path))
+
+
+def append_postings_again(spark, sf):
+    logs, path = events(spark, sf), sl.scratch_path(spark, "postings")
+    sl.write_postings(sl.build_postings(logs.where("log_id % 2 = 0")), path)
+    odd = logs.where("log_id % 2 = 1")
+    _refused(lambda: sl.append_postings(odd, path, 0))
+    sl.append_postings(odd, path, 1)
+    return sl.open_postings(spark, path).select("token", "log_id", "epoch_ms", "level", "service")
+
+
+def alerts_of_two_streams(spark, sf):
+    """Two streams, one for each half of the events, share a sink."""
+    sink = sl.scratch_path(spark, "alerts")
+    baseline = sl.materialise(sl.error_baseline(events(spark, sf)), "baseline")
+    for half in (0, 1):
+        counts = streaming.stream_error_counts(_event_stream(spark, sf, F.col("log_id") % 2 == half))
+        streaming.start_alerts(counts, baseline, sink, sl.scratch_path(spark, "alerts-state"), 1.0, **AVAILABLE).awaitTermination()
+    alerts = spark.read.schema("start_ms BIGINT, end_ms BIGINT, errors BIGINT, z DOUBLE").parquet(sink)
+    return alerts.select("start_ms", "end_ms", "errors", F.round("z", 6).alias("z"))
+
+
+def stream_alerts_moving(spark, sf):
+    """Alerts of a baseline per service that follows the stream, kept in its state."""
+    sink, kept = sl.scratch_path(spark, "moving"), "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(kept)
+    streaming.use_rocksdb(spark)
+    try:
+        alerts = streaming.stream_moving_alerts(_event_stream(spark, sf), z=2.0, window_ms=3_600_000)
+        streaming.start_moving_alerts(alerts, sink, sl.scratch_path(spark, "moving-state"), **AVAILABLE).awaitTermination()
+    finally:
+        spark.conf.set(kept, before)
+    return _moving(spark.read.schema(streaming.MOVING_SCHEMA).parquet(sink))
+
+
+def moving_alerts(spark, sf):
+    return _moving(streaming.moving_alerts(events(spark, sf), z=2.0, window_ms=3_600_000))
+
+
+def _moving(alerts):
+    rounded = [F.round(c, 6).alias(c) for c in ("mean", "stddev", "z")]
+    return alerts.select("service", "start_ms", "end_ms", "errors", "windows", *rounded)
+
+
 # ---- searches whose rows share ids and times ------------------------------------
 
 
@@ -655,6 +763,19 @@ TWINS = """tw AS (
   SELECT log_id, epoch_ms + trunc(log_id % 9 / 3 - 1)::BIGINT * 1000, level, service, 'user_ twin ' || message FROM le WHERE log_id % 3 = 0)"""
 LIVE = f"(log_id % 2 = 1 OR log_id NOT IN {TO_DELETE})"
 
+#: Events as a store has them after the deletion: whole seconds, as their text says.
+WHOLE_SECONDS = LE.replace("le AS (", "le0 AS (", 1) + f""", le AS (
+  SELECT log_id, epoch_ms // 1000 * 1000 AS epoch_ms, level, service, message, stamp FROM le0 WHERE log_id NOT IN {TO_DELETE})"""
+
+MOVING_SQL = f"""WITH {LE}, w AS (SELECT service, epoch_ms // 3600000 AS k, count(*) FILTER (level = 'ERROR') AS errors FROM le GROUP BY ALL),
+  e AS (SELECT service, unnest(range(min(k), max(k) + 1)) AS k FROM w GROUP BY service),
+  c AS (SELECT service, k, w.k IS NOT NULL AS met, coalesce(errors, 0) AS errors FROM e LEFT JOIN w USING (service, k)),
+  s AS (SELECT *, count(*) OVER b AS windows, avg(errors) OVER b AS mean, stddev_samp(errors) OVER b AS sd FROM c
+        WINDOW b AS (PARTITION BY service ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+  SELECT service, k * 3600000 AS start_ms, (k + 1) * 3600000 AS end_ms, errors, windows, round(mean, 6) AS mean,
+         round(sd, 6) AS stddev, round((errors - mean) / sd, 6) AS z
+  FROM s WHERE met AND windows >= 3 AND sd >= 0.001 AND (errors - mean) / sd >= 2.0"""
+
 CSV_OUT = "log_id, stamp AS timestamp, true AS ts_valid, (epoch_ms // 1000) * 1000 AS epoch_ms, level, service, message"
 MESSY = f"""WITH {LE} SELECT log_id,
   CASE WHEN log_id % 10 = 4 THEN 'not-a-time' ELSE stamp END AS timestamp, log_id % 10 <> 4 AS ts_valid,
@@ -883,8 +1004,8 @@ Q: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "csv_long_lines": (
         csv_long_lines,
         from_le(
-            "log_id % 20 = 0",
-            """log_id, CASE log_id % 3 WHEN 0 THEN 50001 WHEN 1 THEN 1 ELSE 5 END::INT AS chars,
+            "true",
+            """log_id, CASE log_id % 3 WHEN 0 THEN CASE log_id % 20 WHEN 0 THEN 50001 ELSE 51 END WHEN 1 THEN 1 ELSE 5 END::INT AS chars,
             CASE log_id % 3 WHEN 0 THEN 'a,,,,' WHEN 1 THEN 'b' ELSE 'c "q"' END AS begin""",
         ),
     ),
@@ -915,9 +1036,43 @@ Q: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "zoned_times": (
         zoned_times,
         f"""WITH {LE}, z AS (SELECT log_id, CASE WHEN log_id % 4 <> 0 THEN stamp ELSE '2023-12-31 19:00:00' END AS timestamp,
-          CASE WHEN log_id % 4 <> 0 THEN (epoch_ms // 1000) * 1000 + 18000000 ELSE {BASE_MS} END AS epoch_ms FROM le WHERE log_id % 2 = 0)
+          CASE WHEN log_id % 4 <> 0 THEN (epoch_ms // 1000) * 1000 + 18000000 ELSE {BASE_MS} END AS epoch_ms FROM le)
         SELECT * FROM z WHERE epoch_ms BETWEEN 1704085200000 AND 1705770000000 UNION ALL SELECT * FROM z WHERE epoch_ms = {BASE_MS}""",
     ),
+    "store_after_two_batches": (
+        store_after_two_batches,
+        f"""WITH {LE}, {tokens('le')}, live AS (SELECT * FROM le_t WHERE {LIVE}), p AS (SELECT unnest(tokens) AS name FROM live)
+        SELECT 'logs' AS kind, service || '/' || level AS name, count(*) AS n FROM live GROUP BY ALL
+        UNION ALL SELECT kind, name, count(*) FROM p, (SELECT unnest(['postings', 'dictionary']) AS kind) GROUP BY ALL
+        UNION ALL SELECT 'raw', '', count(*) FROM le""",
+    ),
+    "windows_after_delete": (windows_after_delete, alert_sql(WINDOW, 2.0).replace(LE, WHOLE_SECONDS)),
+    "dictionary_after_delete": (
+        dictionary_after_delete,
+        f"""WITH {WHOLE_SECONDS}, {tokens('le')}, p AS (SELECT unnest(tokens) AS token, make_date((epoch_ms // 86400000)::INT) AS day FROM le_t)
+        SELECT token, count(*) AS df, min(day)::VARCHAR AS first_day, max(day)::VARCHAR AS last_day FROM p GROUP BY token""",
+    ),
+    "search_two_words": (
+        search_two_words,
+        f"""WITH {WHOLE_SECONDS}, {tokens('le')} SELECT {OUT} FROM le_t
+        WHERE list_contains(tokens, 'error') AND list_contains(tokens, 'click') AND upper(service) = 'PAYMENT'""",
+    ),
+    "append_clustered_again": (append_clustered_again, from_le("true")),
+    "append_postings_again": (
+        append_postings_again,
+        from_le("true", "unnest(tokens) AS token, log_id, epoch_ms, level, service", with_tokens=True),
+    ),
+    "moving_alerts": (moving_alerts, MOVING_SQL),
+    "stream_alerts_moving": (stream_alerts_moving, MOVING_SQL),
+    "alerts_of_two_streams": (
+        alerts_of_two_streams,
+        spikes(
+            WINDOW,
+            """, s AS (SELECT log_id % 2 AS half, epoch_ms // 300000 AS k, count(*) FILTER (level = 'ERROR') AS errors FROM le GROUP BY ALL)
+            SELECT k * 300000 AS start_ms, (k + 1) * 300000 AS end_ms, errors, round((errors - mean) / sd, 6) AS z
+            FROM s, b WHERE (errors - mean) / sd >= 1.0""",
+        ),
+    ),
     "dedupe_twins": (
         dedupe_twins,
         f"""WITH {LE}, {TWINS}, r AS (SELECT *, row_number() OVER (PARTITION BY log_id ORDER BY epoch_ms, service, level, message) AS n FROM tw)
