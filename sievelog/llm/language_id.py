@@ -119,8 +119,14 @@ def identify(docs: DataFrame, model: LanguageModel, text_col="text", names=("lan
     """``docs`` with three columns more, called ``names``; reads nothing but the text.
 
     Null, empty and letterless texts are ``und`` with score 0 and rejected, as is every
-    text if no language was learned. Texts of any length are read whole.
+    text if no language was learned; equal leads go to the first name. Texts of any length
+    are read whole, repeated rows are told each, an empty table gives an empty one. A column
+    of ``docs`` that is named like one of the three is replaced; the text cannot be.
     """
+    taken = {n.lower() for n in names}
+    if text_col.lower() in taken:
+        raise ValueError(f"give other names than {text_col!r} for what is told")
+    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in taken])
     columns = docs.columns
     at = columns.index(text_col)
 

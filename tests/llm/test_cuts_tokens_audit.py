@@ -11,7 +11,7 @@ from odd_documents import ODD, documents  # noqa: F401
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from sievelog.llm import bpe_codec, exact_dedup, fill_in_middle, filter_audit, queries, toxicity
+from sievelog.llm import bpe_codec, exact_dedup, fill_in_middle, filter_audit, language_id, queries, toxicity
 
 SF = "/root/testdata/sf0.001"
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -283,3 +283,17 @@ def test_neutral_mentions_move_no_score(spark):
         moved = scores(term)
         assert max(abs(moved[i] - plain[i]) for i in plain) < toxicity.MENTION_BOUND, term
     assert all(0.25 * sum(weights.get(f, 0.0) for f in toxicity.features({t})) < toxicity.MENTION_BOUND for t in mentions)
+
+
+# ---- language: clashing names -----------------------------------------------------
+
+
+def test_columns_named_like_what_is_told_are_replaced(spark, documents):  # noqa: F811
+    docs = documents(ODD).withColumn("accepted", F.lit("x"))  # score and lang_pred are there, too
+    model = language_id.fit(docs)
+    out = language_id.identify(docs, model)
+    assert len({c.lower() for c in out.columns}) == len(out.columns) == len(docs.columns)
+    rows = out.select("doc_id", "lang_pred", "score", "accepted").collect()
+    assert len(rows) == len(ODD) and {type(r.accepted) for r in rows} == {bool}
+    with pytest.raises(ValueError, match="other names"):
+        language_id.identify(docs, model, names=("text", "score", "accepted"))
