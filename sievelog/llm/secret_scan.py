@@ -142,7 +142,8 @@ def secret_spans(docs: DataFrame, id_col="doc_id", text_col="text", rules=RULES)
     are dropped after matching. Null and empty texts have no spans; rows that repeat id
     and text are each reported. Empty in, empty out.
     """
-    found = candidates(docs.sparkSession, trigram_postings(docs, id_col, text_col, rules), rules)
+    # Stored, so that the planner knows their size: while they are few they go to the texts, and no text moves.
+    found = materialise(candidates(docs.sparkSession, trigram_postings(docs, id_col, text_col, rules), rules), "candidates")
     found = found.select(F.col("doc_id").alias("c_id"), F.col("text_hash").alias("c_hash"), "rules")
     rows = docs.select(F.col(id_col).alias("doc_id"), whole(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash"))
     rows = rows.join(found, (F.col("text_hash") == F.col("c_hash")) & F.col("doc_id").eqNullSafe(F.col("c_id")), "left")
