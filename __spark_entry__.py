@@ -583,6 +583,13 @@ def search_two_words(spark, sf):
     return shown(_store_with_deletions(spark, sf).search(words=["error", "click"], service="payment"))
 
 
+def search_headless_globs(spark, sf):
+    """Globs that begin with a star, resolved by reversed tokens and by grams, over a store."""
+    store = _store_with_deletions(spark, sf)
+    found = [store.search(wildcard=w, level="warn").select(F.lit(w).alias("glob"), *COLS) for w in ("*ick", "*_1*", "*a*ch")]
+    return reduce(DataFrame.unionByName, found)
+
+
 def _refused(append) -> None:
     try:
         append()
@@ -1057,6 +1064,12 @@ Q: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
         f"""WITH {WHOLE_SECONDS}, {tokens('le')} SELECT {OUT} FROM le_t
         WHERE list_contains(tokens, 'error') AND list_contains(tokens, 'click') AND upper(service) = 'PAYMENT'""",
     ),
+    "search_headless_globs": (
+        search_headless_globs,
+        f"""WITH {WHOLE_SECONDS}, {tokens('le')}, g AS (SELECT unnest(['*ick', '*_1*', '*a*ch']) AS glob)
+        SELECT glob, {OUT} FROM le_t, g WHERE level = 'WARN'
+          AND len(list_filter(tokens, lambda t: regexp_full_match(t, replace(glob, '*', '.*')))) > 0""",
+    ),
     "append_clustered_again": (append_clustered_again, from_le("true")),
     "append_postings_again": (
         append_postings_again,

@@ -10,6 +10,10 @@ Token days are the dictionary: a row per token, day and batch with 24 signed cou
 hour. Deletions add negative counts, so sums over all rows give the live number of rows of a
 token and, hour by hour, where it still occurs. A search adds them up to bit masks of hours,
 combines the masks of all its conditions day by day, and only then looks at log rows.
+
+A glob that does not begin with a letter is first resolved to tokens: by the reversed tokens
+if it ends in a literal, else by the trigrams of its longest pieces. Both tables hold a row
+per distinct token of a batch and are sorted, so that the reader skips to the term.
 """
 
 import datetime as dt
@@ -46,6 +50,10 @@ from sievelog.sources.tables import RAW_SCHEMA, gathered_logs, live_rows
 
 #: Days a search names one by one; hits on more days are found by a join with their list.
 DAYS = 400
+#: Tokens a glob may be resolved to; one that more tokens match reads the token days.
+TOKENS = 1_000
+#: Characters of a gram.
+GRAM = 3
 _EPOCH_DAY = dt.date(1970, 1, 1).toordinal()
 _FIRST, _LAST = dt.date.min.toordinal() - _EPOCH_DAY, dt.date.max.toordinal() - _EPOCH_DAY
 _HOURS = [f"h{i:02d}" for i in range(24)]
@@ -59,6 +67,8 @@ _SCHEMAS = {
     ),
     "error_times": T.StructType([T.StructField("epoch_ms", T.LongType()), T.StructField("ts_valid", T.BooleanType()), T.StructField("errors", T.LongType())]),
     "row_hours": T.StructType([T.StructField("hour", T.LongType()), T.StructField("ts_valid", T.BooleanType()), T.StructField("rows", T.LongType())]),
+    "tails": T.StructType([T.StructField("reversed", T.StringType()), T.StructField("token", T.StringType())]),
+    "grams": T.StructType([T.StructField("gram", T.StringType()), T.StructField("token", T.StringType())]),
     "stones": TOMBSTONE_SCHEMA,
 }
 _FOLDERS = {"logs": ["log_date"], "postings": ["head"]}
@@ -186,6 +196,7 @@ class Store:
         self._write_all(
             attempt, logs=gathered_logs(stored), postings=gathered_postings(postings), **_counts(stored)
         )
+        self._write_all(attempt, **_parts_of_tokens(self._read("token_days", [attempt])))
 
     def _write_all(self, attempt: str, **tables: DataFrame) -> None:
         """Tables that do not wait for one another; a failed one stops the call."""
@@ -241,6 +252,7 @@ class Store:
                 error_times=self._error_times(),
                 row_hours=self._row_hours(),
             )
+            self._write_all(attempt, **_parts_of_tokens(self._read("token_days", [attempt])))
             entry = {
                 "kind": "compact", "attempt": attempt, "upto": seen.version, "top": seen.top,
                 "replaces": [b["number"] for b in seen.batches],
@@ -386,8 +398,27 @@ class Store:
         term = keyword or prefix or wildcard
         if not term:
             return None
+        if not keyword and not prefix and wildcard.startswith("*") and wildcard.strip("*"):
+            tokens = self._resolved(wildcard.lower())
+            if tokens is not None:
+                return F.col("token").isin(tokens) if tokens else F.lit(False)
         return token_matches(F.col("token"), keyword, prefix, wildcard)
 
+    def _resolved(self, glob: str) -> list[str] | None:
+        """The tokens that match a glob; None if they are too many or the glob gives nothing to look up."""
+        pieces = [p for p in glob.split("*") if p]
+        grams = {p[i : i + GRAM] for p in pieces for i in range(len(p) - GRAM + 1)}
+        if not glob.endswith("*"):
+            rows = self._read("tails", self._batches()).where(F.startswith("reversed", F.lit(pieces[-1][::-1])))
+        elif grams:
+            rows = self._read("grams", self._batches()).where(F.col("gram").isin(sorted(grams)))
+            held = F.count_distinct("gram") == len(grams)
+            rows = rows.groupBy("token").agg(held.alias("all")).where("all")
+        else:
+            return None
+        found = rows.where(token_matches(F.col("token"), wildcard=glob)).select("token").distinct().limit(TOKENS + 1).collect()
+        return None if len(found) > TOKENS else sorted(r[0] for r in found)
+
     def _masks(self, asked: list[Column]) -> DataFrame:
         """log_date and the hours, as bits, in which each of the conditions has a live row."""
         flags = {f"_a{i}": F.coalesce(a, F.lit(False)) for i, a in enumerate(asked)}
@@ -467,6 +498,21 @@ def _counts(logs: DataFrame) -> dict[str, DataFrame]:
     return {"token_days": _by_token(token_days(logs)), "error_times": error_times(logs), "row_hours": row_hours(logs)}
 
 
+def _parts_of_tokens(days: DataFrame) -> dict[str, DataFrame]:
+    """Each token reversed, and its grams; in order, by a hash of the first characters."""
+    tokens = days.select("token").distinct()
+    tails = tokens.select(F.reverse("token").alias("reversed"), "token")
+    last = F.length("token") - (GRAM - 1)
+    starts = F.when(last > 0, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
+    grams = F.array_distinct(F.transform(starts, lambda i: F.substr(F.col("token"), i, F.lit(GRAM))))
+    grams = tokens.select(F.explode(grams).alias("gram"), "token")
+
+    def sorted_(df, key):
+        return df.withColumn("_head", F.left(key, F.lit(2))).hint("rebalance", "_head").sortWithinPartitions(key, "token").drop("_head")
+
+    return {"tails": sorted_(tails, "reversed"), "grams": sorted_(grams, "gram")}
+
+
 def error_times(logs: DataFrame) -> DataFrame:
     """ERROR rows per millisecond: the windows of spike detection may begin at any."""
     return logs.where(F.upper("level") == "ERROR").groupBy("epoch_ms", "ts_valid").agg(F.count("*").alias("errors"))

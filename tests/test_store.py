@@ -1,6 +1,7 @@
 """The store: one call for all tables, nothing visible before its entry, the same answers as a scan."""
 
 import itertools
+import re
 from concurrent.futures import ThreadPoolExecutor
 
 import pytest
@@ -104,12 +105,30 @@ def test_searches_equal_scans(spark, rows, tmp_path, monkeypatch, fields, few):
         assert as_multiset(store.search(unique_ids=False, **filters).drop("log_date")) == as_multiset(want)
 
 
+def test_globs_without_a_head_are_resolved_to_tokens(spark, rows, tmp_path, monkeypatch):
+    store = in_batches(spark, str(tmp_path / "s"), rows, 2)
+    tokens = [r.token for r in store.dictionary().collect()]
+    read, plain = [], store_module.Store._read
+    monkeypatch.setattr(store_module.Store, "_read", lambda self, table, a: (read.append(table), plain(self, table, a))[1])
+    for glob in ("*ton", "*ection", "*onn*", "*onn*tio*", "*e*ice", "*o*n", "*zzz*", "*%", "*straße*"):
+        want = sorted(t for t in tokens if re.fullmatch(".*".join(map(re.escape, glob.split("*"))), t, re.DOTALL))
+        assert store._resolved(glob) == want, glob
+    assert set(read) == {"tails", "grams"}  # neither postings nor token days
+    assert store._resolved("*n*") is None  # nothing to look up
+    plan = store.token_days(store._asks(wildcard="*ection"))._jdf.queryExecution().executedPlan().toString()
+    assert "In(token" in plan or "EqualTo(token" in plan
+    monkeypatch.setattr(store_module, "TOKENS", 1)
+    assert store._resolved("*n") is None  # too many
+    for glob in ("*n", "*ection", "*on*"):
+        assert as_multiset(store.search(wildcard=glob).drop("log_date")) == as_multiset(sl.matching(rows, wildcard=glob))
+
+
 def test_nothing_counts_before_its_entry_and_a_rerun_is_whole(spark, rows, tmp_path, monkeypatch):
     store = in_batches(spark, str(tmp_path / "s"), rows, 1)
     extra = rows.where("log_id < 30")
     writes = [store_module.write_observed, manifest.write_mark]
     plain = store_module.Store._write
-    for broken in range(7):  # raw, logs, postings, three counts, the entry
+    for broken in (0, 1, 4, 7, 8):  # raw, five tables, two more, the entry
         calls = itertools.count()
 
         def failing(*args, _plain, **kwargs):
@@ -123,7 +142,7 @@ def test_nothing_counts_before_its_entry_and_a_rerun_is_whole(spark, rows, tmp_p
             m.setattr(manifest, "write_mark", lambda *a: failing(*a, _plain=writes[1]))
             with pytest.raises(RuntimeError, match="lost"):
                 store.append(records(extra), call="extra")
-        if broken in (2, 6):
+        if broken in (4, 8):
             same_as_records(sl.open_store(spark, store.path), rows, 0)
     counts = store.append(records(extra), call="extra")
     assert store.append(records(extra), call="extra") == counts and counts["accepted"] == extra.count()
