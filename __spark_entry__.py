@@ -586,7 +586,7 @@ def search_two_words(spark, sf):
 def search_headless_globs(spark, sf):
     """Globs that begin with a star, resolved by reversed tokens and by grams, over a store."""
     store = _store_with_deletions(spark, sf)
-    found = [store.search(wildcard=w, level="warn").select(F.lit(w).alias("glob"), *COLS) for w in ("*ick", "*_1*", "*a*ch")]
+    found = [store.search(wildcard=w, level="warn").select(F.lit(w).alias("pattern"), *COLS) for w in ("*ick", "*_1*", "*a*ch")]
     return reduce(DataFrame.unionByName, found)
 
 
@@ -1066,9 +1066,9 @@ Q: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     ),
     "search_headless_globs": (
         search_headless_globs,
-        f"""WITH {WHOLE_SECONDS}, {tokens('le')}, g AS (SELECT unnest(['*ick', '*_1*', '*a*ch']) AS glob)
-        SELECT glob, {OUT} FROM le_t, g WHERE level = 'WARN'
-          AND len(list_filter(tokens, lambda t: regexp_full_match(t, replace(glob, '*', '.*')))) > 0""",
+        f"""WITH {WHOLE_SECONDS}, {tokens('le')}, g AS (SELECT unnest(['*ick', '*_1*', '*a*ch']) AS pattern)
+        SELECT pattern, {OUT} FROM le_t, g WHERE level = 'WARN'
+          AND len(list_filter(tokens, lambda t: regexp_full_match(t, replace(pattern, '*', '.*')))) > 0""",
     ),
     "append_clustered_again": (append_clustered_again, from_le("true")),
     "append_postings_again": (
