@@ -25,6 +25,12 @@ HOST_LIMIT = 0.5
 PRIOR = (1.0, 1_000.0)
 
 
+def domain_of(url: Column, labels: int = 2) -> Column:
+    """The last ``labels`` names of a URL's host, lower case; null for null, empty where there is no host."""
+    host = F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)", 1))
+    return F.substring_index(host, ".", -labels)
+
+
 def text_measures(docs: DataFrame, text: Column) -> DataFrame:
     """Adds n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words.
 

@@ -10,7 +10,7 @@ from sievelog.llm.filter_audit import filter_audit
 from sievelog.llm.minhash_dedup import near_duplicates
 from sievelog.llm.mixing import mix_sources
 from sievelog.llm.passage_dedup import remove_repeats
-from sievelog.llm.quality_rules import quality_rules
+from sievelog.llm.quality_rules import RULES, domain_of, quality_rules
 
 # ---- language ---------------------------------------------------------------------
 
@@ -195,6 +195,27 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, f1 O
 FROM f JOIN o ON f.source IS NOT DISTINCT FROM o.source"""
 
 
+#: Rules for raw pages: markup counts as symbols, and a domain goes at 30 %.
+PAGE_RULES = {"short": RULES["short"], "repeated": RULES["repeated"], "markup": "10 * n_symbols > word_chars"}
+
+
+def quality_rules_by_domain(spark, sf):
+    """Verdicts on the domains of raw pages, joined back to their pages; some domains fail."""
+    pages = table(spark, sf, "pages")
+    out = quality_rules(pages, "page_id", "html", domain_of(F.col("url"), 3), PAGE_RULES, 0.3)
+    return out.select(F.col("doc_id").alias("page_id"), F.col("host").alias("domain"), "n_symbols", "base_failed", "host_failed", "kept")
+
+
+def _page_sql() -> str:
+    host = r"lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#]+)', 1))"
+    source = f"array_to_string(string_split({host}, '.')[-3:], '.')"
+    sql = OP10_SQL[: OP10_SQL.rindex("SELECT doc_id")]
+    sql = sql.replace("coalesce(text, '') AS t FROM documents", f"coalesce(html, '') AS t FROM (SELECT page_id AS doc_id, html, {source} AS source FROM pages)")
+    sql = sql.replace("5 * n_symbols > word_chars AS f3", "10 * n_symbols > word_chars AS f3").replace("2 * n_dup_lines > n_lines AS f4", "false AS f4")
+    sql = sql.replace("> 0.5) AS failed", "> 0.3) AS failed")
+    return sql + """SELECT doc_id AS page_id, f.source AS domain, n_symbols, f1 OR f2 AS base_failed, failed AS host_failed,
+       NOT (f1 OR f2 OR failed) AS kept FROM f JOIN o ON f.source IS NOT DISTINCT FROM o.source"""
+
 # ---- fill in the middle -----------------------------------------------------------
 
 
@@ -282,6 +303,7 @@ QUERIES = {
     "op8_minhash_dedup": (op8_minhash_dedup, None),
     "op9_secret_scan": (op9_secret_scan, _op9_sql()),
     "op10_quality_rules": (op10_quality_rules, OP10_SQL),
+    "quality_rules_by_domain": (quality_rules_by_domain, _page_sql()),
     "op11_fill_in_middle": (op11_fill_in_middle, OP11_SQL),
     "op12_bpe": (op12_bpe, None),
     "op13_filter_audit": (op13_filter_audit, OP13_SQL),

@@ -11,7 +11,7 @@ from odd_documents import ODD, documents  # noqa: F401
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from sievelog.llm import bpe_codec, exact_dedup, fill_in_middle, filter_audit, language_id, queries, toxicity
+from sievelog.llm import bpe_codec, exact_dedup, fill_in_middle, filter_audit, language_id, quality_rules, queries, toxicity
 
 SF = "/root/testdata/sf0.001"
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -297,3 +297,18 @@ def test_columns_named_like_what_is_told_are_replaced(spark, documents):  # noqa
     assert len(rows) == len(ODD) and {type(r.accepted) for r in rows} == {bool}
     with pytest.raises(ValueError, match="other names"):
         language_id.identify(docs, model, names=("text", "score", "accepted"))
+
+
+# ---- quality of domains -----------------------------------------------------------
+
+
+def test_domains_of_urls(spark):
+    urls = [("http://A.b.Example.com/x?y", "example.com"), ("https://u:p@m.site.org:80#t", "site.org"), ("no url", ""), (None, None), ("ftp://host", "host")]
+    rows = spark.createDataFrame(urls, "url string, want string").select(quality_rules.domain_of(F.col("url")).alias("got"), "want").collect()
+    assert all(r.got == r.want for r in rows)
+
+
+def test_some_domains_fail(spark):
+    out = queries.quality_rules_by_domain(spark, "/root/testdata/sf0.01").collect()
+    lost = [r for r in out if r.host_failed and not r.base_failed]
+    assert lost and not any(r.kept for r in lost) and sum(r.kept for r in out) > len(out) / 2
