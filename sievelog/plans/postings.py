@@ -17,6 +17,8 @@ from sievelog.sources.tables import live_rows
 HOUR_MS = 3_600_000
 #: Hours that a search names one by one; hits in more hours are found by day.
 HOURS = 100
+#: Days that a search names one by one, eleven years; hits on more days, as of junk times, are found by the row predicate.
+DAYS = 4_000
 
 POSTINGS_SCHEMA = T.StructType(
     [
@@ -287,10 +289,11 @@ def search_indexed(
     return matching(logs, unique_ids=unique_ids, **filters)
 
 
-def hit_days(hits: DataFrame) -> list[str]:
-    """The distinct days of some rows; one value per calendar day at most."""
+def hit_days(hits: DataFrame) -> list[str] | None:
+    """The distinct days of some rows; None if they are more than a search names one by one."""
     day = log_date(F.col("epoch_ms")).cast("string")
-    return [r[0] for r in hits.select(day).distinct().collect()]
+    days = [r[0] for r in hits.select(day.alias("d")).distinct().limit(DAYS + 1).collect()]
+    return None if len(days) > DAYS else days
 
 
 def near_hits(hits: DataFrame) -> Column:
@@ -305,8 +308,10 @@ def near_hits(hits: DataFrame) -> Column:
     return on_day & reduce(lambda a, b: a | b, spans, F.lit(False))
 
 
-def on_days(days) -> Column:
-    """Static partition filter for a list of days."""
+def on_days(days: list[str] | None) -> Column:
+    """Static partition filter for a list of days; none at all without a list."""
+    if days is None:
+        return F.lit(True)
     return F.col("log_date").isin([day_literal(d) for d in sorted(days)]) if days else F.lit(False)
 
 
