@@ -358,7 +358,7 @@ def stream_ingest(spark, sf):
     return shown(sl.open_logs(spark, table))
 
 
-def _event_stream(spark, sf, part=F.lit(True)) -> DataFrame:
+def _event_stream(spark, sf, part="true") -> DataFrame:
     """Events as a file stream, closed by one row far in the future."""
     source = sl.scratch_path(spark, "event-stream")
     logs = events(spark, sf).where(part)
