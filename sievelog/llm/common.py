@@ -13,8 +13,20 @@ SPACES = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Rows of an Arrow batch: a batch of texts is held several times over, in the JVM and in Python.
+ARROW_ROWS = 1_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's rows per Arrow batch to :data:`ARROW_ROWS`; fewer stay as they are."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= ARROW_ROWS:
+        spark.conf.set(key, str(ARROW_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     _show_package(spark)
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
