@@ -46,6 +46,8 @@ _PIECES = [f"{kind}{n}" for kind, most in (("h", _EDGE), ("t", _EDGE), ("g", _GR
 # kinds never meet.
 _DAY, _HOUR, _SERVICE, _LEVEL, _ALWAYS = "\0d", "\0h", "\0s", "\0l", "\0"
 _SHORT_MS = 2 * DAY_MS
+# The kinds of key that stand for a slot of time and what else is asked of a row.
+_SLOTS = [(slot, field) for slot in (_DAY, _HOUR) for field in (_SERVICE, _LEVEL, _ALWAYS)]
 
 # Queries without a text filter, or with one that any token satisfies.
 _PLAIN = "kind IN ('none', 'any')"
@@ -102,7 +104,7 @@ def batch_search(
             fields = fields.withColumn("head", token_head(F.col("token")))
         postings = postings.unionByName(fields, allowMissingColumns=True)
 
-    results = []
+    results, slots = [], []
     keyed = {}
     room = _Room(broadcast_rows, BROADCAST_BYTES)
     if use["keywords"] or pieces:
@@ -121,11 +123,14 @@ def batch_search(
         plain = plain.where(dated)
         use["undated"] = 0
     if use["dated"] or use["undated"]:
-        days, size = measured(_day_keys(plain, logs, dated), "batch-days", **_size())
+        asked = {str(n): _count(_is_slot(kind)) for n, kind in enumerate(_SLOTS)}
+        days, size = measured(_day_keys(plain, logs, dated), "batch-days", **_size(), **asked)
+        # A row carries keys of the kinds that some query asks for, and no other.
+        slots = [kind for n, kind in enumerate(_SLOTS) if size.pop(str(n))]
         if room.take(size):
             keyed["days"] = days
-        else:
-            results.append(_by_scan(logs, days, unique_ids, {"days"}, repeats=False))
+        elif slots:
+            results.append(_by_scan(logs, days, unique_ids, {"days"}, slots, repeats=False))
     if keyed:
         if "tokens" in keyed:
             days_each = int((use["span"] or 0) // DAY_MS + 2)
@@ -135,7 +140,7 @@ def batch_search(
         if any("_day" not in keys.columns for keys in keyed.values()):
             keyed = {kind: keys.drop("_day") for kind, keys in keyed.items()}
         keys = F.broadcast(reduce(DataFrame.unionByName, keyed.values()))
-        results.append(_by_scan(logs, keys, unique_ids, set(keyed), repeats=bool(pieces)))
+        results.append(_by_scan(logs, keys, unique_ids, set(keyed), slots, repeats=bool(pieces)))
     if not results:
         return logs.limit(0).select(F.lit(0).cast("bigint").alias("query_id"), *logs.columns)
     return reduce(DataFrame.unionByName, results)
@@ -292,6 +297,24 @@ def _hour_key(hour: Column) -> Column:
     return F.concat(F.lit(_HOUR), hour.cast("string"))
 
 
+def _is_slot(kind: tuple[str, str]) -> str:
+    """SQL that is true for keys of one kind of :data:`_SLOTS`; the field begins at the second null character."""
+    slot, field = kind
+    rest = "substring(key, locate(char(0), key, 2))"
+    tail = f"{rest} = char(0)" if field == _ALWAYS else f"startswith({rest}, concat(char(0), '{field[1]}'))"
+    return f"startswith(key, concat(char(0), '{slot[1]}')) AND {tail}"
+
+
+def _slot_keys(slots: list[tuple[str, str]]) -> list[Column]:
+    """The keys of a row, of the kinds given."""
+    at = {
+        _DAY: _day_key(log_date(F.col("epoch_ms"))),
+        _HOUR: _hour_key(F.floor(F.col("epoch_ms") / F.lit(HOUR_MS)).cast("bigint")),
+    }
+    says = dict(zip((_SERVICE, _LEVEL, _ALWAYS), _field_names(), strict=True))
+    return [F.concat(at[slot], says[field]) for slot, field in slots]
+
+
 def _field_names() -> list[Column]:
     """What the key of a query without text can say of a row's fields."""
     service, level = F.concat(F.lit(_SERVICE), F.upper("service")), F.concat(F.lit(_LEVEL), F.upper("level"))
@@ -330,15 +353,14 @@ def _residual() -> Column:
 
 
 def _by_scan(
-    logs: DataFrame, keys: DataFrame, unique_ids: bool, kinds: set[str], repeats: bool
+    logs: DataFrame, keys: DataFrame, unique_ids: bool, kinds: set[str], slots: list[tuple[str, str]], repeats: bool
 ) -> DataFrame:
     """Explode each row's keys in place and look them up; only matches are kept."""
     columns = logs.columns
     rows = logs.withColumn("_row", F.monotonically_increasing_id())
     own = []
     if "days" in kinds:
-        slots = (_day_key(log_date(F.col("epoch_ms"))), _hour_key(F.floor(F.col("epoch_ms") / F.lit(HOUR_MS)).cast("bigint")))
-        own += [F.concat(slot, field) for slot in slots for field in _field_names()]
+        own += _slot_keys(slots)
     if "fields" in kinds:
         own += _field_names()
     every = F.array(*own).cast("array<string>")

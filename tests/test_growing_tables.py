@@ -1,6 +1,7 @@
 """Batches that never meet, ids without scans, appended tables, zones, and one answer on every plan."""
 
 import os
+import sys
 
 import pytest
 from conftest import as_multiset, make_logs, plan_of
@@ -172,6 +173,25 @@ def test_batch_search_has_one_answer(spark, messy):
     assert by_hand == sl.matching(messy, keyword="error", level="ERROR").count()
 
 
+def test_rows_carry_only_keys_that_are_asked(spark, messy, monkeypatch):
+    plan = sys.modules[sl.batch_search.__module__]
+    hour, day, base = 3_600_000, 86_400_000, 1_704_067_200_000
+    carried = []
+    keys_of = plan._slot_keys
+    monkeypatch.setattr(plan, "_slot_keys", lambda slots: carried.append(slots) or keys_of(slots))
+    for n, (level, service) in enumerate([(None, "auth"), ("error", None), (None, None), ("error", "auth")]):
+        for span, slot in ((hour, plan._HOUR), (9 * day, plan._DAY)):
+            queries = spark.createDataFrame([(n, None, None, None, base, base + span, level, service)], QUERIES)
+            want = as_multiset(sl.matching(messy, start_ms=base, end_ms=base + span, level=level, service=service))
+            for limit in (500_000, 0):
+                got = sl.batch_search(messy, queries, broadcast_rows=limit)
+                assert as_multiset(got.drop("query_id")) == want
+                field = plan._SERVICE if service else plan._LEVEL if level else plan._ALWAYS
+                assert carried.pop() == [(slot, field)]
+    none = spark.createDataFrame([(1, None, None, None, base, base - 1, None, None)], QUERIES)
+    assert sl.batch_search(messy, none, broadcast_rows=0).count() == 0
+
+
 def test_zones(spark):
     session = spark.conf.get("spark.sql.session.timeZone")
     row = [(1, "2024-07-01 00:00:00", "INFO", "API", "x"), (2, None, "INFO", "API", "y")]
