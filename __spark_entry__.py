@@ -437,7 +437,9 @@ def csv_long_lines(spark, sf):
         .when(n % 3 == 1, F.concat(head, F.lit(",b"), commas))
         .otherwise(F.concat(head, F.lit(',"c ""q"""'), commas, F.lit('"x"')))
     )
-    events(spark, sf).select(line.alias("value")).write.text(path)
+    # Compressed files cannot be split, so no file holds more lines than a task should read.
+    files = events(spark, sf).select(line.alias("value")).write.option("maxRecordsPerFile", 10_000)
+    files.text(path, compression="gzip")
     logs, _ = sl.read_logs_csv(spark, path)
     return logs.select("log_id", F.length("message").alias("chars"), F.left("message", F.lit(5)).alias("begin"))
 
