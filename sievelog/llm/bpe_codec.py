@@ -164,32 +164,38 @@ class Codec:
         ids = [start[b] for b in word]
         n = len(ids)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        queue = []
-        for i in range(n - 1):
-            rank = after_id[ids[i]](ids[i + 1])
+        shift = n.bit_length()
+        places = (1 << shift) - 1
+        queue, entry_of = [], [-1] * n  # the entry of the pair that starts at a symbol, -1 if it has none
+        for left in range(n - 1):
+            rank = after_id[ids[left]](ids[left + 1])
             if rank is not None:
-                queue.append(rank << 32 | i)
+                entry_of[left] = entry = rank << shift | left
+                queue.append(entry)
         heapify(queue)
         while queue:
             entry = heappop(queue)
-            rank, left = entry >> 32, entry & 0xFFFFFFFF
-            right = after[left]
-            own = ids[left]
-            if own < 0 or right >= n or after_id[own](ids[right]) != rank:
+            left = entry & places
+            if entry_of[left] != entry:
                 continue  # stale: one of the two was merged meanwhile
-            own = ids[left] = made[rank]
-            ids[right] = -1
+            right = after[left]
+            own = ids[left] = made[entry >> shift]
+            ids[right] = entry_of[right] = entry_of[left] = -1
             last = after[left] = after[right]
             if last < n:
                 before[last] = left
                 rank = after_id[own](ids[last])
                 if rank is not None:
-                    heappush(queue, rank << 32 | left)
+                    entry_of[left] = entry = rank << shift | left
+                    heappush(queue, entry)
             first = before[left]
             if first >= 0:
                 rank = after_id[ids[first]](own)
-                if rank is not None:
-                    heappush(queue, rank << 32 | first)
+                if rank is None:
+                    entry_of[first] = -1
+                else:
+                    entry_of[first] = entry = rank << shift | first
+                    heappush(queue, entry)
         return [i for i in ids if i >= 0]
 
     def encode(self, text: str) -> bytes:
@@ -253,6 +259,17 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary, id_col="doc_id", t
     return rows.mapInArrow(run, "doc_id bigint, ids array<int>, n_tokens bigint")
 
 
+def _lists(column: pa.Array) -> Iterator[list[int]]:
+    """The lists of a column, empty where they are null; the numbers become Python's at once and not one by one."""
+    numbers = column.flatten()
+    if numbers.null_count:
+        raise ValueError("a null is no id")
+    numbers, start = numbers.to_numpy().tolist(), 0
+    for size in column.value_lengths().fill_null(0).to_pylist():
+        yield numbers[start : start + size]
+        start += size
+
+
 def decode_documents(coded: DataFrame, vocabulary: Vocabulary, ids_col="ids", text_col="text") -> DataFrame:
     """``coded`` with the decoded text in place of its ids.
 
@@ -268,7 +285,7 @@ def decode_documents(coded: DataFrame, vocabulary: Vocabulary, ids_col="ids", te
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 part = batch.slice(at, ROWS)
-                texts = [codec.decode(ids or []) for ids in part.column(0).to_pylist()]
+                texts = [codec.decode(ids) for ids in _lists(part.column(0))]
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[1:], pa.array(texts, pa.string())], names=[*part.schema.names[1:], text_col]
                 )
