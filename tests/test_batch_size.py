@@ -4,6 +4,7 @@ import sys
 
 import pytest
 from conftest import as_multiset, plan_of
+from pyspark.sql import functions as F
 
 import sievelog as sl
 
@@ -61,3 +62,23 @@ def test_stored_hits_do_not_grow_with_the_queries(spark, messy, monkeypatch):
             hits += [count for name, count in stored if name == "batch-hits"]
             stored.clear()
     assert len(hits) == 4 and len(set(hits)) == 1 and hits[0] > 0
+
+
+def test_queries_that_ask_the_same_are_one_key(spark, messy, monkeypatch):
+    plan, stored = sys.modules[sl.batch_search.__module__], []
+    monkeypatch.setattr(plan, "_IDS", 20)
+    keep = plan.materialise
+    monkeypatch.setattr(plan, "materialise", lambda df, name: stored.append(name) or keep(df, name))
+    asked = spark.createDataFrame(_asked(100), QUERIES)
+    named = asked.withColumn("query_id", F.concat(F.lit("q"), F.col("query_id").cast("string")))
+    odd = spark.createDataFrame([(None, None, None, "*o*", None, None, None, None)] * 2, named.schema)
+    for queries in (asked.union(asked), named.union(odd)):
+        # 300 queries are 15 rows of ids; the words of the glob and the prefix count as well.
+        got = sl.batch_search(messy, queries, broadcast_rows=250)
+        assert "batch-postings" not in stored
+        rows = as_multiset(got.withColumn("query_id", F.regexp_replace(F.col("query_id").cast("string"), "q", "").cast("bigint")))
+        alone = {row: count for row, count in rows.items() if row[0] is None}
+        assert {row: count for row, count in rows.items() if row not in alone} == _want(messy, 100)
+        glob = as_multiset(sl.matching(messy, wildcard="*o*"))
+        assert {row[1:]: count for row, count in alone.items()} == (glob if alone else {})
+    assert alone
