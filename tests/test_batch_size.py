@@ -82,3 +82,18 @@ def test_queries_that_ask_the_same_are_one_key(spark, messy, monkeypatch):
         glob = as_multiset(sl.matching(messy, wildcard="*o*"))
         assert {row[1:]: count for row, count in alone.items()} == (glob if alone else {})
     assert alone
+
+
+@pytest.mark.parametrize("many", [500_000, 0], ids=["few", "many"])
+def test_stored_hits_are_rows(spark, messy, monkeypatch, many):
+    plan, stored = sys.modules[sl.batch_search.__module__], []
+    monkeypatch.setattr(plan, "_DEAL_HITS", many, raising=False)
+    keep = plan.materialise
+    monkeypatch.setattr(plan, "materialise", lambda df, name: stored.append(keep(df, name)) or stored[-1])
+    got = sl.batch_search(messy, spark.createDataFrame(_asked(3), QUERIES), postings=sl.build_postings(messy))
+    assert as_multiset(got) == _want(messy, 3)
+    (hits,) = stored
+    of = ["log_id", "epoch_ms", "row_key"]
+    assert hits.count() == hits.select(*of).distinct().count() > 0
+    # Rows and hits that were dealt out alike are not moved again.
+    assert ("Join [log_id" in plan_of(got).split("ShuffleQueryStage")[0]) == (not many)
