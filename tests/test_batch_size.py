@@ -97,3 +97,13 @@ def test_stored_hits_are_rows(spark, messy, monkeypatch, many):
     assert hits.count() == hits.select(*of).distinct().count() > 0
     # Rows and hits that were dealt out alike are not moved again.
     assert ("Join [log_id" in plan_of(got).split("ShuffleQueryStage")[0]) == (not many)
+
+
+@pytest.mark.parametrize("limit", [500_000, 0])
+def test_keys_do_not_grow_with_queries_that_ask_the_same(spark, messy, monkeypatch, limit):
+    plan, keys = sys.modules[sl.batch_search.__module__], []
+    meet = plan._meet
+    monkeypatch.setattr(plan, "_meet", lambda found, asked, *how: keys.append(asked.count()) or meet(found, asked, *how))
+    assert as_multiset(sl.batch_search(messy, spark.createDataFrame(_asked(20), QUERIES), broadcast_rows=limit)) == _want(messy, 20)
+    # One list of ids for each of the three searches, on a day at most.
+    assert keys == [3]
